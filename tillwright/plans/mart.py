@@ -55,8 +55,11 @@ class Mart:
             lambda: rules.flag(harmonize.HARMONIZERS[entity](self.bronze(entity), **options), entity),
         )
 
+    def clean_anew(self, entity: str) -> DataFrame:
+        return rules.clean(self.harmonized(entity), entity)
+
     def clean(self, entity: str) -> DataFrame:
-        return self._table(f"clean_{entity}", lambda: rules.clean(self.harmonized(entity), entity))
+        return self._table(f"clean_{entity}", lambda: self.clean_anew(entity))
 
     @property
     def rejected_records(self) -> DataFrame:
@@ -67,6 +70,7 @@ class Mart:
 
     @property
     def pipeline_audit_log(self) -> DataFrame:
+        """Counted from bronze, so that it checks the split into clean and rejected rows."""
         return reduce(DataFrame.unionByName, [rules.audit(self.harmonized(e), e) for e in fv.ENTITIES])
 
     # Dimensions
