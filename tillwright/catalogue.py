@@ -181,11 +181,11 @@ def _kpi_top(m: Mart) -> DataFrame:
 
 
 def _search(m: Mart) -> DataFrame:
-    return search(stage(insights.rag_documents(m), "rag_documents"), QUESTIONS)
+    return search(insights.rag_documents(m), QUESTIONS)
 
 
 def _search_filtered(m: Mart) -> DataFrame:
-    return search(stage(insights.rag_documents(m), "rag_documents"), QUESTIONS, filters={"doc_type": "vendor"})
+    return search(insights.rag_documents(m), QUESTIONS, filters={"doc_type": "vendor"})
 
 
 def _search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,12 @@ JSON_FILES = {"returns": ("Region6/returns_1.json", "returns_2.json"), "products
 
 # Spark writes a file as a folder of parts; JSON arrays are written as text.
 PART = r"/part-[^/]*$"
-PART_ROUTES = {**files.ROUTES, "returns": r".*returns.*[.]json/part-.*[.]txt", "products": r".*products[.]json/part-.*[.]txt"}
+PART_ROUTES = {
+    **files.ROUTES,
+    "returns": r".*returns.*[.]json/part-.*[.]txt",
+    "products": r".*products[.]json/part-.*[.]txt",
+    "vendors": r".*vendors[.]csv/part-.*[.]csv",
+}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
