@@ -23,6 +23,11 @@ def lookup(rows: DataFrame, dimension: DataFrame, key: str, dim_key: str, column
     return rows.join(wanted, rows[key] == wanted["_dim_key"], "left").drop("_dim_key")
 
 
+def date_lookup(rows: DataFrame, dim_dates: DataFrame, key: str, dim_key: str, columns: Sequence[str]) -> DataFrame:
+    """Broadcast, as the calendar is cut at 10,000 days: rows are never shuffled by their few, crowded dates."""
+    return lookup(rows, F.broadcast(dim_dates), key, dim_key, columns)
+
+
 def keyed_orders(
     orders: DataFrame,
     dim_customers: DataFrame,
@@ -30,10 +35,10 @@ def keyed_orders(
     customer: Sequence[str] = (),
     date: Sequence[str] = (),
 ) -> DataFrame:
-    """Orders with customer and order-date attributes; the calendar has at most 10,000 rows."""
+    """Orders with customer and order-date attributes."""
     rows = orders.withColumn("order_date_key", F.col("order_purchase_date").cast("date"))
     rows = lookup(rows, dim_customers, "customer_id", "customer_id", customer)
-    return lookup(rows, dim_dates, "order_date_key", "date_key", date)
+    return date_lookup(rows, dim_dates, "order_date_key", "date_key", date)
 
 
 def sales_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -86,7 +91,7 @@ def returns(
         "order_id", "customer_id", "vendor_id", *customer
     )
     rows = returned.drop("_source_file").join(keyed, "order_id", "left")
-    rows = lookup(rows, dim_dates, "return_date", "date_key", date)
+    rows = date_lookup(rows, dim_dates, "return_date", "date_key", date)
     return rows.withColumns({"return_date_key": F.col("return_date")})
 
 

@@ -180,7 +180,7 @@ class Mart:
         if "fact_returns" in self._stored:
             rows = self._stored["fact_returns"].withColumnRenamed("return_date_sk", "date_sk")
             rows = self._attach(rows, self.dim_customers, "customer_sk", customer)
-            return self._attach(rows, self.dim_dates, "date_sk", date)
+            return self._attach(rows, self.dim_dates, "date_sk", date, "date_sk")
         return facts.returns(
             self.clean("returns"), self.clean("orders"), self.dim_customers, self.dim_dates, customer, date
         )
@@ -190,4 +190,5 @@ class Mart:
         rows: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str], dim_key: str | None = None
     ) -> DataFrame:
         missing = [c for c in columns if c not in rows.columns]
-        return facts.lookup(rows, dimension, key, dim_key or key, missing)
+        join = facts.date_lookup if dim_key == "date_sk" else facts.lookup
+        return join(rows, dimension, key, dim_key or key, missing)

@@ -13,6 +13,9 @@ from tillwright.session import stage
 
 MONTH = ("year", "month", "month_name")
 
+# Most vendor and product pairs an order may have to be paired directly.
+PAIRS_PER_ORDER = 10_000
+
 
 def _whole(col: Column) -> Column:
     return F.sum(col).cast("bigint")
@@ -197,6 +200,26 @@ def mv_product_return_impact(mart: Mart) -> DataFrame:
     )
 
 
+def vendor_product_returns(mart: Mart, sold: DataFrame, most_pairs: int = PAIRS_PER_ORDER) -> DataFrame:
+    """Each returned product of an order beside each vendor of that order, for pairs that were ever sold.
+
+    An ordinary order has a handful of either. One with a great many of both is not paired with itself: it
+    goes through the vendor and product pairs that ``sold`` holds, the only ones the report shows.
+    """
+    vendors = stage(mart.sales(measures=["vendor_id"]).where("vendor_id is not null").distinct(), "order_vendors")
+    products = stage(mart.bridge_return_products.select("order_id", "product_id", "allocated_refund"), "order_products")
+    sizes = vendors.groupBy("order_id").agg(F.count("*").alias("n_vendors")).join(
+        products.groupBy("order_id").agg(F.count("*").alias("n_products")), "order_id"
+    )
+    crowded = sizes.where(F.col("n_vendors") * F.col("n_products") > most_pairs).select("order_id")
+    if crowded.isEmpty():
+        return products.join(vendors, "order_id")
+    ordinary = products.join(vendors.join(crowded, "order_id", "left_anti"), "order_id")
+    pairs = sold.select("vendor_id", "product_id").distinct()
+    candidates = vendors.join(crowded, "order_id", "left_semi").join(pairs, "vendor_id")
+    return ordinary.unionByName(products.join(candidates, ["order_id", "product_id"]))
+
+
 def mv_vendor_product_performance(mart: Mart) -> DataFrame:
     """Sales per vendor, product and region; a vendor's returns of a product repeat on each region row."""
     sold = (
@@ -210,10 +233,8 @@ def mv_vendor_product_performance(mart: Mart) -> DataFrame:
             rounded(exact_sum(F.col("profit"))).alias("total_profit"),
         )
     )
-    order_vendors = mart.sales(measures=["vendor_id"]).distinct()
     returned = (
-        mart.bridge_return_products.select("order_id", "product_id", "allocated_refund")
-        .join(order_vendors, "order_id")
+        vendor_product_returns(mart, sold)
         .groupBy("vendor_id", "product_id")
         .agg(
             F.count("*").alias("return_count"),
