@@ -8,13 +8,16 @@ from datetime import datetime, timezone
 from functools import reduce
 
 import pandas as pd
-from pyspark.errors import PythonException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
 from tillwright.functions.parsing import one_of, quoted
 
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 # The path of a row's file, spelled as in a file listing; Spark hands it out percent-encoded.
 PATH_SQL = "url_decode(replace(_metadata.file_path, '+', '%2B')) as path"
 
@@ -51,8 +54,11 @@ def routed(files: DataFrame, routes: Mapping[str, str] = ROUTES) -> DataFrame:
 # CSV
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First line of each file; only the start of a file is read, by one small task per hundred files."""
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
+    """First line of each file, None for a file that cannot be read.
+
+    Only the start of a file is read, by one small task per hundred files.
+    """
 
     def first_line(path: str) -> str:
         from urllib.parse import quote
@@ -69,16 +75,24 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
                 head += chunk
         return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
 
+    def readable_line(path: str) -> str | None:
+        try:
+            return first_line(path)
+        except (OSError, ValueError):
+            return None
+
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"path": batch["path"], "header": [first_line(p) for p in batch["path"]]})
+            yield pd.DataFrame({"path": batch["path"], "header": [readable_line(p) for p in batch["path"]]})
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(1 + len(paths) // 100)
-    try:
-        found = listed.mapInPandas(first_lines, "path string, header string").collect()
-    except PythonException:
-        found = _headers_by_scan(spark, paths).collect()
-    return {r["path"]: r["header"] for r in found}
+    found = {r["path"]: r["header"] for r in listed.mapInPandas(first_lines, "path string, header string").collect()}
+    if not any(header is not None for header in found.values()):
+        try:
+            found |= {r["path"]: r["header"] for r in _headers_by_scan(spark, paths).collect()}
+        except SPARK_ERRORS:
+            pass
+    return found
 
 
 def _headers_by_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -123,29 +137,34 @@ _OBJECT = "map<string,string>"
 
 
 def _objects_by_line(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Each line without array brackets and commas as an object; NULL where it is not one."""
+    """The objects of each line, read as a list whether or not it opens, goes on or ends an array of the file."""
     lines = spark.read.text(paths).selectExpr(
         PATH_SQL, r"regexp_replace(value, r'^\s*[\[,]?\s*|\s*[\],]*\s*$', '') as line"
     )
-    return lines.where("line <> ''").select("path", F.from_json("line", _OBJECT).alias("raw_data"))
+    objects = F.from_json(F.concat(F.lit("["), "line", F.lit("]")), f"array<{_OBJECT}>")
+    return lines.where("line <> ''").select("path", objects.alias("objects"))
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Objects of JSON files, one row each, values as text.
 
-    A file whose every line is one object (with array brackets and commas around it or not) is split over
-    tasks; only files laid out differently are parsed whole, each by one task.
+    A file whose every line holds whole objects (with array brackets and commas around them or not) is split
+    over tasks; only files laid out differently are parsed whole, each by one task. Reading a file that is
+    neither fails.
     """
-    is_object = F.bool_and(F.col("raw_data").isNotNull()).alias("by_line")
-    layout = _objects_by_line(spark, paths).groupBy("path").agg(is_object).collect()
-    by_line = [r["path"] for r in layout if r["by_line"]]
+    by_line = F.bool_and(F.coalesce(F.forall("objects", lambda o: o.isNotNull()), F.lit(False)))
+    layout = _objects_by_line(spark, paths).groupBy("path").agg(by_line.alias("by_line")).collect()
+    lined = [r["path"] for r in layout if r["by_line"]]
     whole = [r["path"] for r in layout if not r["by_line"]]
     parts = []
-    if by_line:
-        parts.append(_objects_by_line(spark, by_line))
+    if lined:
+        parts.append(_objects_by_line(spark, lined).select("path", F.explode("objects").alias("raw_data")))
     if whole:
         texts = spark.read.text(whole, wholetext=True).selectExpr(PATH_SQL, "value")
-        objects = F.coalesce(F.from_json("value", f"array<{_OBJECT}>"), F.array(F.from_json("value", _OBJECT)))
-        parts.append(texts.select("path", F.explode(objects).alias("raw_data")).where("raw_data is not null"))
+        one = F.from_json("value", _OBJECT)
+        objects = F.coalesce(F.from_json("value", f"array<{_OBJECT}>"), F.when(one.isNotNull(), F.array(one)))
+        unreadable = F.raise_error(F.concat(F.lit("no JSON objects in "), "path")).cast(f"array<{_OBJECT}>")
+        found = texts.select("path", F.coalesce(objects, unreadable).alias("objects"))
+        parts.append(found.select("path", F.explode("objects").alias("raw_data")))
     empty = spark.createDataFrame([], f"path string, raw_data {_OBJECT}")
     return reduce(DataFrame.unionByName, parts, empty)

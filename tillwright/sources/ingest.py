@@ -6,7 +6,6 @@ from collections import defaultdict
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +95,7 @@ def land(
     try:
         write(readers, append=target is None)
         return entries + [(entity, paths[p], "loaded", None) for chosen in readers.values() for p in chosen]
-    except PySparkException:
+    except files.SPARK_ERRORS:
         pass
     append = target is None
     for names, chosen in readers.items():
@@ -105,7 +104,7 @@ def land(
                 write({names: [path]}, append)
                 append = True
                 entries.append((entity, paths[path], "loaded", None))
-            except PySparkException as error:
+            except files.SPARK_ERRORS as error:
                 entries.append((entity, paths[path], "error", str(error).splitlines()[0]))
     return entries
 
@@ -120,6 +119,9 @@ def _readers(
     groups: dict[tuple[str, ...] | None, list[str]] = defaultdict(list)
     entries = []
     for path, header in files.headers(spark, sorted(paths)).items():
+        if header is None:
+            entries.append((entity, paths[path], "error", "cannot be read"))
+            continue
         names = tuple(files.column_names(header))
         if not any(names):
             entries.append((entity, paths[path], "warning", "no columns"))
