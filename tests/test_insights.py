@@ -41,7 +41,7 @@ def test_scores_without_thresholds(spark):
 def test_vendors_over_several_documents(spark, monkeypatch):
     m = mart(spark, SMALL)
     monkeypatch.setattr(insights, "VENDORS_PER_DOCUMENT", 3)
-    texts = [r["kpi_data"] for r in insights._vendor_documents(m).collect()]
+    texts = [r["kpi_data"] for r in insights._vendor_documents(metrics.mv_return_rate_by_vendor(m)).collect()]
     assert len(texts) > 1
     names = sorted(v["vendor"] for t in texts for v in json.loads(t)["vendors"])
     assert names == sorted(r["vendor_name"] for r in metrics.mv_return_rate_by_vendor(m).collect())

@@ -16,7 +16,7 @@ from tillwright.operators.first_rows import first_rows
 from tillwright.operators.quantiles import positions
 from tillwright.plans import metrics
 from tillwright.plans.mart import Mart
-from tillwright.session import stage
+from tillwright.session import stage, stage_all
 
 COMPANY = "the company"
 
@@ -139,9 +139,8 @@ def _revenue_document(mart: Mart) -> DataFrame:
     return totals.select(F.lit("revenue_performance").alias("insight_type"), F.to_json(document).alias("kpi_data"))
 
 
-def _vendor_documents(mart: Mart) -> DataFrame:
+def _vendor_documents(rates: DataFrame) -> DataFrame:
     """Vendors are spread over documents by hash once they are too many for one."""
-    rates = stage(metrics.mv_return_rate_by_vendor(mart), "return_rate_by_vendor")
     parts = max(1, -(-rates.count() // VENDORS_PER_DOCUMENT))
     vendor = F.struct(
         F.col("vendor_name").alias("vendor"), _money("total_sales"), _money("return_rate_pct", "return_rate"),
@@ -160,8 +159,7 @@ def top_return_costs(impact: DataFrame, k: int = fv.TOP_COST_ROWS) -> DataFrame:
     return impact.orderBy(*order).limit(k)
 
 
-def _inventory_document(mart: Mart) -> DataFrame:
-    impact = stage(metrics.mv_product_return_impact(mart), "product_return_impact")
+def _inventory_document(impact: DataFrame) -> DataFrame:
     cost = F.col("total_return_cost")
     row = F.struct(
         cost.isNull().alias("last"), (-cost).alias("rank"), "product_id", "region", "product_name", _money("total_return_cost")
@@ -183,7 +181,17 @@ def _inventory_document(mart: Mart) -> DataFrame:
 
 
 def kpi_documents(mart: Mart) -> DataFrame:
-    return reduce(DataFrame.unionByName, [_revenue_document(mart), _vendor_documents(mart), _inventory_document(mart)])
+    mart.hold("transactions", "orders", "returns")
+    reports = stage_all({
+        "return_rate_by_vendor": metrics.mv_return_rate_by_vendor(mart),
+        "product_return_impact": metrics.mv_product_return_impact(mart),
+    })
+    documents = [
+        _revenue_document(mart),
+        _vendor_documents(reports["return_rate_by_vendor"]),
+        _inventory_document(reports["product_return_impact"]),
+    ]
+    return reduce(DataFrame.unionByName, documents)
 
 
 def ai_business_insights(mart: Mart, model: Model | None = None, company: str = COMPANY) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillwright import fixed_values as fv
 from tillwright.functions.numbers import exact_sum
 from tillwright.operators import dimensions, facts, harmonize, rules
+from tillwright.session import stage_all
 from tillwright.sources.landing import extract
 
 
@@ -58,6 +59,12 @@ class Mart:
     def clean_anew(self, entity: str) -> DataFrame:
         return rules.clean(self.harmonized(entity), entity)
 
+    def hold(self, *entities: str) -> Mart:
+        """Write clean tables that are not stored, for a report that reads them several times."""
+        missing = [e for e in entities if f"clean_{e}" not in self._stored]
+        self._stored |= stage_all({f"clean_{e}": self.clean(e) for e in missing})
+        return self
+
     def clean(self, entity: str) -> DataFrame:
         return self._table(f"clean_{entity}", lambda: self.clean_anew(entity))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tillwright.functions.completion import Model
 from tillwright.operators import rules
 from tillwright.plans import insights, metrics
 from tillwright.plans.mart import Mart
-from tillwright.session import stage
+from tillwright.session import stage, together
 from tillwright.sources import files
 from tillwright.sources.ingest import MODES, ingest, landing_name
 from tillwright.sources.landing import extract
@@ -68,11 +69,12 @@ def transform(tables: Tables, mode: str = "full", repair_late: bool = False, mod
 def refresh_silver(tables: Tables, mode: str) -> None:
     """Bronze, clean and quarantine; in incremental mode each target takes rows newer than its newest."""
     put = tables.replace if mode == "full" else tables.append_newer
-    for entity in fv.ENTITIES:
-        put(f"raw_{entity}", extract(tables.read(landing_name(entity)), entity))
+    together([
+        lambda e=entity: put(f"raw_{e}", extract(tables.read(landing_name(e)), e)) for entity in fv.ENTITIES
+    ])
     layer = Mart(stored=tables.stored([f"raw_{e}" for e in fv.ENTITIES]))
-    for entity in fv.ENTITIES:
-        put(f"clean_{entity}", layer.clean_anew(entity))
+    clean = {f"clean_{e}": layer.clean_anew(e) for e in fv.ENTITIES}
+    together([lambda n=name, rows=rows: put(n, rows) for name, rows in clean.items()])
     if mode == "full" or tables.read("rejected_records") is None:
         tables.replace("rejected_records", layer.rejected_records)
     else:
@@ -83,9 +85,11 @@ def append_newer_rejects(tables: Tables, layer: Mart) -> None:
     """Each entity has a mark of its own, so a slow source is not cut off by a faster one."""
     marks = tables.read("rejected_records").groupBy("source_table").agg(F.max("_load_timestamp").alias("mark")).collect()
     by_table = {r["source_table"]: r["mark"] for r in marks}
+    new = []
     for entity in fv.ENTITIES:
         found = rules.rejected(layer.harmonized(entity), entity)
-        tables.append("rejected_records", newer(found, by_table.get(f"clean_{entity}")))
+        new.append(newer(found, by_table.get(f"clean_{entity}")))
+    tables.append("rejected_records", reduce(DataFrame.unionByName, new))
 
 
 def refresh_gold(
@@ -98,13 +102,13 @@ def refresh_gold(
     lines (those newer than ``known_lines``) to the sales and rebuilds the returns.
     """
     fresh = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products", *DIMENSIONS))
-    for name in DIMENSIONS:
-        tables.replace(name, getattr(fresh, name))
+    dimensions = {name: getattr(fresh, name) for name in DIMENSIONS}
+    together([lambda n=name, rows=rows: tables.replace(n, rows) for name, rows in dimensions.items()])
     facts = ("fact_sales", "fact_returns", "bridge_return_products")
     if mode == "full" or tables.read("fact_sales") is None:
         whole = mart(tables, without=facts)
-        tables.replace("fact_sales", whole.fact_sales)
-        tables.replace("fact_returns", whole.fact_returns)
+        sales, returns = whole.fact_sales, whole.fact_returns
+        together([lambda: tables.replace("fact_sales", sales), lambda: tables.replace("fact_returns", returns)])
     else:
         sales_mark = watermark(tables.read("fact_sales"))
         returns_mark = watermark(tables.read("fact_returns"))
@@ -126,15 +130,19 @@ def refresh_gold(
 def refresh_reports(tables: Tables, model: Model | None = None) -> None:
     """Stored reports and texts; the other reports and the audit become views."""
     whole = mart(tables)
-    for name in STORED_REPORTS:
-        tables.replace(name, metrics.METRICS[name](whole))
+    together([lambda n=name: tables.replace(n, metrics.METRICS[n](whole)) for name in STORED_REPORTS])
     for name in VIEWS:
         metrics.METRICS[name](whole).createOrReplaceTempView(name)
     whole.pipeline_audit_log.createOrReplaceTempView("pipeline_audit_log")
-    tables.replace("flagged_return_customers", insights.flagged_return_customers(whole, model))
-    tables.replace("ai_business_insights", insights.ai_business_insights(whole, model))
-    tables.replace("dq_audit_report", insights.dq_audit_report(whole, model))
-    refresh_documents(tables, whole)
+    texts = {
+        "flagged_return_customers": insights.flagged_return_customers,
+        "ai_business_insights": insights.ai_business_insights,
+        "dq_audit_report": insights.dq_audit_report,
+    }
+    together([
+        *[lambda n=name, text=text: tables.replace(n, text(whole, model)) for name, text in texts.items()],
+        lambda: refresh_documents(tables, whole),
+    ])
     tables.replace("rag_query_history", insights.rag_query_history(whole, model, tables.read("rag_documents")))
 
 
