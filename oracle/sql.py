@@ -438,7 +438,7 @@ def oracle() -> dict[str, str]:
         "SELECT source_table, record_key, split_part(v, ':', 1) AS affected_field, split_part(v, ':', 2) AS issue_type, "
         f"{LINEAGE} FROM rejects WHERE source_table = 'clean_transactions' AND v = 'sales:out_of_range'"
     )
-    q["pipeline_audit_log"] = "SELECT * FROM audit"
+    q["audit_log"] = "SELECT * FROM audit"
     q["check_audit_balanced"] = (
         "SELECT *, bronze_count - silver_count - rejected_count AS imbalance FROM audit "
         "WHERE bronze_count <> silver_count + rejected_count"

@@ -222,7 +222,7 @@ QUERIES: dict[str, Query] = {
     "rejected_by_rule": _on_mart(_rejected_by_rule),
     "rejected_record_data": _on_mart(_rejected_record_data),
     "generate_rejected_rows": _on_mart(_generated_rejects),
-    "pipeline_audit_log": _table("pipeline_audit_log"),
+    "audit_log": _table("pipeline_audit_log"),
     "check_audit_balanced": _on_mart(lambda m: checks.audit_balanced(m.pipeline_audit_log)),
     "check_bridge_allocation": _on_mart(lambda m: checks.allocation_sums(m.bridge_return_products)),
     "check_not_null": _on_mart(_check_not_null),

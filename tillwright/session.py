@@ -34,7 +34,7 @@ _local_dir: str | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach; a scratch folder only on a local master that names none."""
     global _local_dir
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
