@@ -30,3 +30,40 @@ SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.
   sha256(coalesce(items.s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+LINE_DEDUP = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+h AS (
+  SELECT r, doc_id, w, list_transform(w, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT)) AS h FROM d
+),
+c AS (
+  SELECT r, doc_id, w, list_concat([[0]], list_transform(
+    list_filter(range(1, len(w)), lambda i: ((h[i] % 2147483647) * 1000003 + h[i + 1]) % 2147483647 % 2 = 0), lambda i: [i])
+  ) AS c FROM h
+),
+cuts AS (
+  SELECT r, doc_id, w, list_reduce(c, lambda a, x: CASE WHEN x[1] - a[-1] >= 2 THEN list_concat(a, x) ELSE a END) AS c FROM c
+),
+chunks AS (
+  SELECT r, doc_id, c[k] AS pos, coalesce(c[k + 1], len(w)) - c[k] AS n,
+    array_to_string(list_slice(w, c[k] + 1, coalesce(c[k + 1], len(w))), chr(10)) AS chunk
+  FROM (SELECT *, unnest(range(1, len(c) + 1)) AS k FROM cuts)
+),
+firsts AS (
+  SELECT chunk, min(struct_pack(doc_id := doc_id, pos := pos)) AS first FROM chunks
+  WHERE n >= 2 AND length(replace(replace(chunk, chr(10), ''), ' ', '')) > 0 GROUP BY chunk
+),
+kept AS (
+  SELECT r, n, pos, chunks.chunk,
+    n < 2 OR first IS NULL OR first IS NOT DISTINCT FROM struct_pack(doc_id := doc_id, pos := pos) AS stays
+  FROM chunks LEFT JOIN firsts USING (chunk)
+),
+texts AS (
+  SELECT r, sum(n) AS n_lines, coalesce(sum(n) FILTER (NOT stays), 0) AS n_removed,
+    coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (stays), '') AS text
+  FROM kept GROUP BY r
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, length(text) AS n_chars,
+  sha256(text) AS text_sha256
+FROM d JOIN texts USING (r)
+"""

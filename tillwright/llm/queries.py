@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwright.llm import bpe, contamination, oracles, quality, toxicity
+from tillwright.llm import bpe, contamination, lines, oracles, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -32,10 +36,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op6_bpe": op6_bpe,
+    "op7_line_dedup": op7_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_line_dedup": oracles.LINE_DEDUP,
     "op10_decontamination": oracles.DECONTAMINATION,
 }
