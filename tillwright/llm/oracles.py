@@ -67,3 +67,79 @@ SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS
   sha256(text) AS text_sha256
 FROM d JOIN texts USING (r)
 """
+
+_COUNTS = {
+    "words@1": r"[^\x20\x09-\x0D]+",
+    "pieces@1": r"[A-Za-z]+|[0-9]{1,3}|[^\x00-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]",
+}
+
+# Where all documents have come to: what is left, shortened, moved and restored.
+TOKEN_COUNTS = f"""
+WITH d AS (SELECT source, lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS size FROM documents),
+e AS (
+  SELECT CASE WHEN size % 10 = 3 THEN source || '-moved' ELSE source END AS source, lang,
+    CASE WHEN size % 10 = 2 THEN substr(text, 1, CAST(floor(size / 2) AS BIGINT)) ELSE text END AS text
+  FROM d WHERE size % 10 <> 1 OR size % 20 = 1
+),
+n AS (
+  {" UNION ALL ".join(
+    f"SELECT source, lang, '{name}' AS tokenizer, len(regexp_extract_all(text, '{pattern}')) AS n FROM e"
+    for name, pattern in _COUNTS.items()
+  )}
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM n GROUP BY source, lang, tokenizer
+"""
+
+CHAT = """
+WITH m AS (
+  SELECT DISTINCT conv_id, turn, role, text, coalesce(text, '') AS t, length(coalesce(text, '')) AS size FROM conversations
+),
+calls AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, size, turn % 8 >= 2 AS needs,
+    CASE size % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'lookup' ELSE 'note' END AS name, t
+  FROM m WHERE role = 'user'
+),
+results AS (
+  SELECT conv_id, 'call_' || conv_id || '_' || (turn - 1) AS call_id, turn, text AS content FROM m WHERE role = 'assistant'
+),
+linked AS (
+  SELECT c.*, r.call_id IS NOT NULL AS answered, r.content, p.call_id IS NOT NULL AS known,
+    '"after":["call_' || c.conv_id || '_' || (c.turn - 2) || '"]' AS after
+  FROM calls c LEFT JOIN results r USING (conv_id, call_id)
+  LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.turn = c.turn - 2
+),
+args AS (
+  SELECT *, '{' || array_to_string(list_filter(CASE name
+      WHEN 'search' THEN [CASE WHEN needs THEN after END, '"limit":' || (size % 50), '"query":' || to_json(t)]
+      WHEN 'lookup' THEN [CASE WHEN needs THEN after END,
+        CASE WHEN size % 5 <> 0 THEN '"key":' || to_json(split_part(t, ' ', 1)) END, '"strict":true']
+      ELSE [CASE WHEN needs THEN after END, CASE WHEN size % 7 = 0 THEN '"draft":true' END, '"text":' || to_json(t)]
+    END, lambda x: x IS NOT NULL), ',') || '}' AS arguments,
+    list_sort(list_filter([
+      CASE WHEN name = 'search' AND size % 50 NOT BETWEEN 1 AND 40 THEN 'limit:out_of_range' END,
+      CASE WHEN name = 'lookup' AND size % 5 = 0 THEN 'key:missing' END,
+      CASE WHEN name = 'note' AND size % 7 = 0 THEN 'draft:unknown' END,
+      CASE WHEN NOT answered THEN 'no_result' END,
+      CASE WHEN needs AND NOT known THEN 'unknown_dependency' END
+    ], lambda x: x IS NOT NULL)) AS errors
+  FROM linked
+),
+rows AS (
+  SELECT conv_id, call_id, turn, name, arguments, errors, content,
+    CASE WHEN NOT (needs AND known) THEN 0
+      WHEN NOT (SELECT b.needs AND b.known FROM linked b WHERE b.conv_id = args.conv_id AND b.turn = args.turn - 2) THEN 1
+      WHEN NOT (SELECT b.needs AND b.known FROM linked b WHERE b.conv_id = args.conv_id AND b.turn = args.turn - 4) THEN 2
+      ELSE 3 END AS level
+  FROM args
+  UNION ALL
+  SELECT conv_id, call_id, turn, NULL, NULL, ['no_call'], content, NULL
+  FROM results ANTI JOIN calls USING (conv_id, call_id)
+)
+SELECT conv_id, call_id, turn, CAST(level AS INTEGER) AS level, len(errors) = 0 AS valid,
+  array_to_string(errors, ',') AS errors,
+  '{"arguments":' || coalesce(arguments, 'null') || ',"errors":' || CAST(to_json(errors) AS VARCHAR) || ',"id":'
+    || coalesce(CAST(to_json(call_id) AS VARCHAR), 'null') || ',"name":' || coalesce(CAST(to_json(name) AS VARCHAR), 'null')
+    || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS json
+FROM rows
+"""

@@ -5,18 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, contamination, lines, oracles, quality, toxicity
+from tillwright.llm import bpe, chat, contamination, counts, lines, oracles, quality, toxicity
+from tillwright.session import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(_table(spark, sf_dir, "conversations"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are loaded; then, by the length of their texts, some are deleted, some lose the second half of
+    their text, some move to another source; that batch is sent twice; at last some deleted ones come back."""
+    docs = _table(spark, sf_dir, "documents").select("source", "lang", "text")
+    size = F.coalesce(F.length("text"), F.lit(0)) % 10
+    half = F.substring("text", F.lit(1), F.length("text").cast("int") / 2)
+    cut, moved = docs.where(size == 2), docs.where(size == 3)
+    before = cut.unionByName(moved)
+    after = cut.withColumn("text", half).unionByName(moved.withColumn("source", F.concat("source", F.lit("-moved"))))
+    rollup = counts.Rollup(spark, new_path(spark, "token_counts"))
+    rollup.commit("load", counts.deltas(inserted=docs))
+    for _ in range(2):
+        rollup.commit("edit", counts.deltas(deleted=docs.where(size == 1), revised=(before, after)))
+    rollup.commit("restore", counts.deltas(inserted=docs.where((size == 1) & (F.length("text") % 20 == 1))))
+    return rollup.totals()
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -34,7 +57,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat": op2_chat,
     "op3_quality": op3_quality,
+    "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op9_toxicity": op9_toxicity,
@@ -42,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_chat": oracles.CHAT,
+    "op5_token_counts": oracles.TOKEN_COUNTS,
     "op7_line_dedup": oracles.LINE_DEDUP,
     "op10_decontamination": oracles.DECONTAMINATION,
 }
