@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, contamination, counts, lines, oracles, quality, toxicity
+from tillwright.llm import bpe, chat, contamination, counts, lines, oracles, personal, quality, toxicity
 from tillwright.session import new_path
 
 
@@ -48,6 +48,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(_table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
+    "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
