@@ -143,3 +143,36 @@ SELECT conv_id, call_id, turn, CAST(level AS INTEGER) AS level, len(errors) = 0
     || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS json
 FROM rows
 """
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+s AS (
+  SELECT r, doc_id, list_distinct(list_transform(
+    range(1, greatest(len(w) - 3, least(len(w), 1)) + 1), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')
+  )) AS s FROM d
+),
+n AS (SELECT r, doc_id, len(s) AS n FROM s),
+sets AS (SELECT list_sort(s) AS s, min(r) AS g, any_value(len(s)) AS n FROM s WHERE len(s) > 0 GROUP BY list_sort(s)),
+member AS (SELECT r, g FROM s JOIN sets ON list_sort(s.s) = sets.s),
+one AS (SELECT g, n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.g AS a, b.g AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM one a JOIN one b ON a.x = b.x AND a.g < b.g AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.g, b.g
+),
+linked AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (
+  SELECT g, g AS h FROM sets
+  UNION
+  SELECT reach.g, both_ways.b FROM reach JOIN both_ways ON reach.h = both_ways.a
+),
+least_doc AS (SELECT g, min(doc_id) AS doc_id FROM member JOIN d USING (r) GROUP BY g),
+component AS (SELECT reach.g, min(doc_id) AS component_id FROM reach JOIN least_doc ON reach.h = least_doc.g GROUP BY reach.g)
+SELECT n.doc_id, n.n AS n_shingles, CASE WHEN member.g IS NULL THEN n.doc_id ELSE component_id END AS component_id
+FROM n LEFT JOIN member USING (r) LEFT JOIN component USING (g)
+"""

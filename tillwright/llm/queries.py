@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, contamination, counts, lines, oracles, personal, quality, toxicity
+from tillwright.llm import bpe, chat, contamination, counts, jaccard, lines, oracles, personal, quality, toxicity
 from tillwright.session import new_path
 
 
@@ -23,6 +23,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are loaded; then, by the length of their texts, some are deleted, some lose the second half of
     their text, some move to another source; that batch is sent twice; at last some deleted ones come back."""
@@ -63,6 +67,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op6_bpe": op6_bpe,
     "op7_line_dedup": op7_line_dedup,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_chat": oracles.CHAT,
+    "op4_jaccard_join": oracles.JACCARD_JOIN,
     "op5_token_counts": oracles.TOKEN_COUNTS,
     "op7_line_dedup": oracles.LINE_DEDUP,
     "op10_decontamination": oracles.DECONTAMINATION,
