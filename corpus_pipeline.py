@@ -4,21 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwright.llm import bpe, contamination
+from tillwright.llm import bpe, contamination, jaccard, lines, quality
 from tillwright.session import stage
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Chunks of lines that another document, or an earlier place, has as well go; n_chars follows the text."""
+    return lines.clean(docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by their shingles the one with the smallest id stays."""
+    return jaccard.distinct(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of the benchmark go."""
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, with the digests of the round trip."""
+    """The ids of each document: their number, their digest, and that of the text decoded from them."""
     return bpe.round_trip(docs)
 
 
 STAGES = [
+    ("quality classifier", classify),
+    ("line dedup", drop_lines),
+    ("n-gram jaccard join", drop_copies),
     ("benchmark decontamination", decontaminate),
     ("bpe encoding and decoding", encode),
 ]
@@ -30,5 +48,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "_").replace("-", "_"))
     return docs

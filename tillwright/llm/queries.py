@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, contamination, counts, jaccard, lines, oracles, personal, quality, toxicity
+from tillwright.llm import bpe, chat, contamination, counts, fingerprints, jaccard, lines, oracles, personal, quality, toxicity
 from tillwright.session import new_path
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.successors(_table(spark, sf_dir, "documents"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(_table(spark, sf_dir, "conversations"))
 
@@ -65,6 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_chat": op2_chat,
     "op3_quality": op3_quality,
     "op4_jaccard_join": op4_jaccard_join,
