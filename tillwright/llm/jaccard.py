@@ -59,7 +59,7 @@ def prefix(own: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return own[np.lexsort((own, counts[(own & np.uint64(CROWD - 1)).astype(np.int64)]))[:length]]
 
 
-SETS = "doc_id {kind}, id bigint, n int, first array<bigint>, sketch binary"
+SETS = "doc_id {kind}, version bigint, id bigint, n int, first array<bigint>, sketch binary"
 
 
 def _sets(rule: Rule, counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -75,12 +75,13 @@ def _sets(rule: Rule, counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("version"),
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int32()),
                     pa.array(firsts, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "id", "n", "first", "sketch"],
+                ["doc_id", "version", "id", "n", "first", "sketch"],
             )
 
     return run
@@ -111,38 +112,52 @@ def texts_of(docs: DataFrame, owners: DataFrame, rule: Rule) -> Callable[[DataFr
     return run
 
 
-def classes(docs: DataFrame, rule: Rule = RULE, region_rows: int = linkage.REGION_ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id of each document."""
+def _classed(docs: DataFrame, rule: Rule, region_rows: int) -> DataFrame:
+    """doc_id, version (a hash of the text), n, component (its least set; null without words), component_id."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = spark.sparkContext.broadcast(crowd(docs, rule))
     schema = SETS.format(kind=docs.schema["doc_id"].dataType.simpleString())
-    all_sets = stage(docs.mapInArrow(_sets(rule, counts), schema), "sets")
-    filled = all_sets.where(F.col("id").isNotNull())
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    every = stage(hashed.mapInArrow(_sets(rule, counts), schema), "sets")
+    filled = every.where(F.col("id").isNotNull())
     owners = stage(filled.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "owners")
     unique = filled.select("id", "n", "first", "sketch").dropDuplicates(["id"])
     _, found = linkage.links(regions(stage(unique, "unique_sets")), texts_of(docs, owners, rule), rule, region_rows)
     named = owners.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_set = named.select("id", "component").join(least, "component").select("id", "component_id")
+    of_set = named.select("id", "component").join(least, "component").select("id", "component", "component_id")
     # a set may be that of a third of all documents: the join is split where it is
-    result = all_sets.select("doc_id", "id", "n").join(of_set, "id", "left")
-    return result.select(
-        "doc_id",
-        F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
-
+    result = every.select("doc_id", "version", "id", "n").join(of_set, "id", "left")
+    own = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return result.select("doc_id", "version", "n", "component", own.alias("component_id"))
 
-def distinct(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its own columns.
 
-    Of several rows with that id, those whose set is in the component stay.
-    """
-    found = classes(docs, rule)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    name = "_doc_id"
-    while name in docs.columns:
-        name += "_"
-    gone = gone.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[name]), "left_anti")
+def classes(docs: DataFrame, rule: Rule = RULE, region_rows: int = linkage.REGION_ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id of each document."""
+    found = _classed(docs, rule, region_rows)
+    return found.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
+
+
+def distinct(docs: DataFrame, rule: Rule = RULE, region_rows: int = linkage.REGION_ROWS) -> DataFrame:
+    """One document of each component, with its own columns: the one with the smallest id, of several texts with that
+    id the one with the smallest hash, of equal rows any. Documents without words all stay."""
+    found = stage(_classed(docs, rule, region_rows), "classed").where(F.col("component").isNotNull())
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    chosen = found.where(first).groupBy("component").agg(F.min("version").alias("chosen"))
+    judged = found.join(chosen, "component").withColumn("stays", first & (F.col("version") == F.col("chosen")))
+    taken = ("_id", "_version")
+    while any(c in docs.columns for c in taken):
+        taken = tuple(c + "_" for c in taken)
+    keys = [F.col("doc_id").alias(taken[0]), F.col("version").alias(taken[1])]
+    same = F.col("doc_id").eqNullSafe(F.col(taken[0])) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(taken[1])
+    )
+    gone = judged.where("NOT stays").select(*keys).distinct()
+    kept = docs.join(gone, same, "left_anti")
+    repeated = judged.where("stays").groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = stage(repeated.select(*keys), "repeated")
+    if repeated.isEmpty():
+        return kept
+    one = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").unionByName(one)
