@@ -13,6 +13,7 @@ from tillwright import fixed_values as fv
 from tillwright.operators.rules import RULES, rules_for
 from tillwright.sources.driver_tables import RAW_SQL, other_engine_sql
 
+NOT_WORD = r"[^\p{L}\p{N}]+"
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -206,7 +207,7 @@ FROM (
   SELECT UNNEST(generate_series(date_trunc('year', lo), date_trunc('year', hi) + INTERVAL 1 YEAR, INTERVAL 1 DAY)) AS day
   FROM (SELECT MIN(d) AS lo, MAX(d) AS hi FROM (
     SELECT CAST(order_purchase_date AS DATE) AS d FROM ok_orders UNION ALL SELECT return_date FROM ok_returns))
-) ORDER BY day LIMIT 10000
+)
 """
 CTES["sold"] = """
 SELECT o.order_id, c.customer_sk, o.customer_id, p.product_sk, t.product_id, v.vendor_sk,
@@ -319,9 +320,8 @@ SELECT 'revenue_performance' AS insight_type, '{{"grand_total_revenue":' || {_de
   || ']}}' AS kpi_data
 FROM region_kpis
 UNION ALL
-SELECT 'vendor_return_rate', '{{"vendors":[' || string_agg('{{"vendor":"' || vendor_name || '","total_sales":' || {_dec("total_sales")}
-  || ',"return_rate":' || {_dec("return_rate_pct")} || ',"total_refunded":' || {_dec("total_refunded")} || '}}', ','
-  ORDER BY vendor_name, total_sales) || ']}}'
+SELECT 'vendor_return_rate', '{{"vendor":"' || vendor_name || '","total_sales":' || {_dec("total_sales")}
+  || ',"return_rate":' || {_dec("return_rate_pct")} || ',"total_refunded":' || {_dec("total_refunded")} || '}}'
 FROM vendor_rates
 UNION ALL
 SELECT 'slow_moving_inventory', '{{"total_return_cost":' || (SELECT {_dec("ROUND(SUM(CAST(total_return_cost AS DECIMAL(18,4))), 2)")} FROM impact)
@@ -363,8 +363,8 @@ GROUP BY 1, 2
 
 def _bm25(docs: str, key: str, text: str, k: int) -> dict[str, str]:
     return {
-        "corpus": f"SELECT {key} AS doc, list_filter(regexp_split_to_array(lower({text}), '[^a-z0-9]+'), lambda x: x <> '') AS ws FROM {docs}",
-        "asked": "SELECT qid, UNNEST(list_distinct(list_filter(regexp_split_to_array(lower(question), '[^a-z0-9]+'), lambda x: x <> ''))) AS w FROM questions",
+        "corpus": f"SELECT {key} AS doc, list_filter(regexp_split_to_array(lower({text}), '{NOT_WORD}'), lambda x: x <> '') AS ws FROM {docs}",
+        "asked": f"SELECT qid, UNNEST(list_distinct(list_filter(regexp_split_to_array(lower(question), '{NOT_WORD}'), lambda x: x <> ''))) AS w FROM questions",
         "tf": "SELECT doc, w, COUNT(*) AS f FROM (SELECT doc, UNNEST(ws) AS w FROM corpus) WHERE w IN (SELECT w FROM asked) GROUP BY ALL",
         "sizes": "SELECT COUNT(*) AS n, AVG(len(ws)) AS mean_size FROM corpus",
         "ranked": f"""
@@ -472,6 +472,50 @@ def oracle() -> dict[str, str]:
         "UNION ALL SELECT 'refund_amount', refund_amount FROM typed_returns WHERE refund_amount < 0 "
         "UNION ALL SELECT 'quantity_exclusive', CAST(quantity AS DOUBLE) FROM typed_transactions WHERE quantity <= 1 OR quantity >= 50"
     )
+    relations = {
+        **{f"clean_{e}": f"ok_{e}" for e in TESTS}, "dim_customers": "customers_d", "dim_products": "products_d",
+        "dim_vendors": "vendors_d", "dim_dates": "dates_d", "fact_sales": "sold", "fact_returns": "sent_back",
+    }
+    declared = {
+        "not_null": {
+            "clean_customers": "customer_id customer_name segment region",
+            "clean_orders": "order_id customer_id ship_mode order_status order_purchase_date",
+            "clean_products": "product_id product_name",
+            "clean_returns": "order_id return_status return_reason return_date",
+            "clean_transactions": "order_id product_id sales quantity discount",
+            "clean_vendors": "vendor_id vendor_name",
+            "dim_customers": "customer_sk customer_id", "dim_dates": "date_sk date_key",
+            "dim_products": "product_sk product_id", "dim_vendors": "vendor_sk vendor_id",
+            "fact_returns": "order_id", "fact_sales": "order_id",
+        },
+        "unique": {
+            "dim_customers": "customer_sk customer_id", "dim_dates": "date_sk date_key", "dim_products": "product_sk",
+            "dim_vendors": "vendor_sk vendor_id",
+        },
+    }
+    conditions = {
+        ("clean_customers", "segment", "accepted_values"): f"segment NOT IN {_in(fv.SEGMENTS)}",
+        ("clean_customers", "region", "accepted_values"): f"region NOT IN {_in(fv.REGIONS)}",
+        ("clean_orders", "ship_mode", "accepted_values"): f"ship_mode NOT IN {_in(fv.SHIP_MODES)}",
+        ("clean_orders", "order_status", "accepted_values"): f"order_status NOT IN {_in(fv.ORDER_STATUSES)}",
+        ("clean_returns", "return_status", "accepted_values"): f"return_status NOT IN {_in(fv.RETURN_STATUSES)}",
+        ("clean_returns", "refund_amount", "in_range"): "refund_amount < 0",
+        ("clean_transactions", "sales", "in_range"): "sales < 0",
+        ("clean_transactions", "quantity", "in_range"): "quantity < 1",
+        ("clean_transactions", "discount", "in_range"): "discount < 0 OR discount > 1",
+        **{(t, c, "not_null"): f"{c} IS NULL" for t, cs in declared["not_null"].items() for c in cs.split()},
+    }
+    q["column_tests"] = " UNION ALL ".join(
+        [
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS test, COUNT(*) FILTER ({test}) AS failing FROM {relations[t]}"
+            for (t, c, kind), test in conditions.items()
+        ]
+        + [
+            f"SELECT '{t}', '{c}', 'unique', COUNT(*) FROM (SELECT {c} FROM {relations[t]} WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+            for t, cs in declared["unique"].items()
+            for c in cs.split()
+        ]
+    )
     q["dq_rejection_rates"] = (
         "SELECT a.entity, split_part(v, ':', 1) AS affected_field, split_part(v, ':', 2) AS issue_type, COUNT(*) AS rejected_count, "
         f"a.bronze_count AS total_entity_records, {_pct('COUNT(*)', 'a.bronze_count')} AS rejection_rate_pct, "
@@ -539,7 +583,8 @@ SELECT customer_id, customer_name, segment, region, total_returns, total_refund_
   rules_violated, '{lead}Customer: ' || customer_name || ' (' || customer_id || '). Segment: ' || segment || '. Region: ' || region
   || '. Returns: ' || total_returns || '. Total refunded: $' || {_dec("total_refund_value")} || '. Avg refund: $'
   || {_dec("avg_refund_per_return")} || '. Approval rate: ' || {_dec("approval_rate_pct")} || '%. Reasons: '
-  || IFNULL(return_reasons, 'N/A') || '. Score: ' || anomaly_score || '/100. Rules: ' || rules_violated AS prompt
+  || IFNULL(return_reasons, 'N/A') || '. Score: ' || anomaly_score || '/100. Rules: ' || rules_violated AS prompt,
+  'Draft for ' || length(prompt) || ' characters: ' || prompt AS investigation_brief
 FROM scores WHERE anomaly_score >= 40"""
     q["kpi_totals"] = (
         f"SELECT {_money('total_revenue')} AS grand_total_revenue, {_money('total_profit')} AS grand_total_profit, "
@@ -610,15 +655,25 @@ GROUP BY ALL"""
         for e in ("customers", "orders", "returns", "vendors")
     ) + " UNION ALL SELECT e, NULL, 'warning', 'no files found', 0 FROM (VALUES ('transactions'), ('products')) t(e)"
     q["ingest_new_files_only"] = "SELECT _source_file, COUNT(*) AS row_count FROM raw_orders GROUP BY 1"
-    q["incremental_append"] = (
-        "SELECT order_id, NULL AS affected_field, _source_file FROM ok_orders UNION ALL "
-        "SELECT record_key, split_part(v, ':', 1), _source_file FROM rejects WHERE source_table = 'clean_orders'"
+    q["incremental_append"] = "SELECT source_table, record_key, split_part(v, ':', 1) AS affected_field, _source_file FROM rejects" + "".join(
+        f" UNION ALL SELECT 'clean_{e}', {KEYS[e]}, NULL, _source_file FROM ok_{e}" for e in TESTS
     )
+    late_orders, late_lines = "Region5/orders_3.csv", "Region4/transactions_2.csv"
+    moved = f"IF(order_file = '{late_orders}', TIMESTAMP '2024-01-02 00:00:00', _load_timestamp)"
+    sales = "SELECT * EXCLUDE (order_file, line_file) REPLACE ({} AS _load_timestamp) FROM sold{}"
+    days = ("order_date_key", "order_purchase_date", "_load_timestamp")
     q["incremental_facts_late_data"] = _portable(
-        "SELECT * EXCLUDE (order_file, line_file) FROM sold WHERE line_file <> 'Region4/transactions_2.csv'",
-        "order_date_key", "order_purchase_date", "_load_timestamp",
+        sales.format(moved, f" WHERE line_file <> '{late_lines}' OR order_file = '{late_orders}'"), *days
+    )
+    q["incremental_facts_repaired"] = _portable(sales.format(moved, ""), *days)
+    q["incremental_returns_late_data"] = _portable(
+        "SELECT r.order_id, c.customer_sk, o.customer_id, d.date_sk AS return_date_sk, r.return_date AS return_date_key, "
+        "r.refund_amount, r.return_reason, r.return_status, r.return_date, o.vendor_id, r._load_timestamp FROM ok_returns r "
+        f"LEFT JOIN (SELECT * FROM ok_orders WHERE _source_file <> '{late_orders}') o USING (order_id) "
+        "LEFT JOIN customers_d c ON c.customer_id = o.customer_id LEFT JOIN dates_d d ON d.date_key = r.return_date",
+        "return_date_key", "return_date", "_load_timestamp",
     )
-    q["incremental_facts_repaired"] = q["fact_sales"]
+    q["incremental_returns_repaired"] = q["fact_returns"]
     stored = {
         **{f"clean_{e}": f"ok_{e}" for e in TESTS}, "rejected_records": "rejects", "dim_customers": "customers_d",
         "dim_products": "products_d", "dim_vendors": "vendors_d", "dim_dates": "dates_d", "fact_sales": "sold",
@@ -629,6 +684,12 @@ GROUP BY ALL"""
     )
     q["stream_ingest_available_now"] = q["ingest_new_files_only"]
     q["stream_equals_batch"] = f"SELECT {TYPED_COLUMNS['orders']}, _source_file FROM ok_orders"
+    q["stream_to_gold"] = (
+        "SELECT 'fact_sales' AS table_name, order_id, customer_sk AS first_key, product_sk AS second_key, sales AS amount FROM sold "
+        "UNION ALL SELECT 'fact_returns', order_id, customer_sk, return_reason, refund_amount FROM sent_back "
+        "UNION ALL SELECT 'bridge_return_products', order_id, product_sk, product_id, allocated_refund FROM allocated"
+    )
+    q["stream_retry_gold"] = q["stream_to_gold"]
     q["stream_skip_empty"] = "SELECT 'orders' AS entity, COUNT(*) AS bronze_count, CAST(0 AS BIGINT) AS rows_in_last_run FROM raw_orders"
     texts = {name: compose(select) for name, select in q.items()}
     texts["search_topk"] = compose("SELECT * FROM best", _bm25("docs", "doc_id", "doc_text", 5))

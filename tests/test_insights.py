@@ -38,12 +38,10 @@ def test_scores_without_thresholds(spark):
     assert insights.anomaly_scores(history, insights.anomaly_thresholds(history)).count() == 0
 
 
-def test_vendors_over_several_documents(spark, monkeypatch):
+def test_each_vendor_has_a_document(spark):
     m = mart(spark, SMALL)
-    monkeypatch.setattr(insights, "VENDORS_PER_DOCUMENT", 3)
     texts = [r["kpi_data"] for r in insights._vendor_documents(metrics.mv_return_rate_by_vendor(m)).collect()]
-    assert len(texts) > 1
-    names = sorted(v["vendor"] for t in texts for v in json.loads(t)["vendors"])
+    names = sorted(json.loads(t)["vendor"] for t in texts)
     assert names == sorted(r["vendor_name"] for r in metrics.mv_return_rate_by_vendor(m).collect())
 
 
@@ -66,6 +64,19 @@ def test_shortest_documents_fill_the_context(spark):
     assert found[2] == " | ".join(texts)[:3000]
 
 
+def test_empty_texts_before_others(spark):
+    """Documents without text still bring a separator each, and the others follow."""
+    texts = [""] * 900 + ["return"] * 500
+    found = {r["qid"]: r["documents"] for r in insights.rag_context(documents(spark, texts)).collect()}
+    assert found[2] == " | ".join(texts)[:3000]
+
+
+def test_search_keeps_letters_of_all_scripts(spark):
+    docs = documents(spark, ["die Größe zählt", "размер важен", "gr e"])
+    found = search(docs, {1: "Größe", 2: "РАЗМЕР"}, k=2).orderBy("qid", "rank").collect()
+    assert [(r["qid"], r["doc_id"]) for r in found] == [(1, "d0000"), (2, "d0001")]
+
+
 def test_few_documents(spark):
     found = {r["qid"]: r for r in insights.rag_context(documents(spark, ["a return", "b", None])).collect()}
     assert (found[2]["documents"], found[2]["retrieved_count"]) == ("a return | b", 3)

@@ -5,8 +5,6 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SMALL
-from tillwright.catalogue import mart
 from tillwright.operators import facts
 from tillwright.plans import metrics
 from tillwright.plans.mart import Mart
@@ -54,25 +52,34 @@ def test_bridge_of_a_hot_order(spark, tiny_partitions):
         "if(id % 4 = 0, 'O2', 'O1') as order_id", "md5(cast(id as string)) as product_sk", "cast(id as string) as product_id",
         "1.0D as sales",
     )
-    found = facts.bridge(returns, lines, lines.select("order_id", "sales"))
+    found = facts.bridge(returns, lines)
     totals = found.groupBy("order_id").agg(F.count("*"), F.sum("allocation_weight"), F.first("total_order_sales")).orderBy("order_id")
     assert [tuple(r)[:2] for r in totals.collect()] == [("O1", 30_000), ("O2", 10_000)]
     assert [round(r[2], 6) for r in totals.collect()] == [1.0, 1.0]
 
 
-def test_crowded_orders_take_the_other_way(spark):
-    """With no pair allowed directly, every order goes through the pairs that were sold."""
-    m = mart(spark, SMALL)
-    sold = m.sales(measures=["vendor_id", "product_id"]).where("vendor_id is not null")
+class Crowded:
+    """One returned order of 200 vendors and 200 products, beside an ordinary one."""
 
-    def counted(limit):
-        rows = metrics.vendor_product_returns(m, sold, limit).groupBy("vendor_id", "product_id")
-        sums = rows.agg(F.count("*").alias("n"), F.round(F.sum("allocated_refund"), 2).alias("s"))
-        shown = sums.join(sold.select("vendor_id", "product_id").distinct(), ["vendor_id", "product_id"])
-        return sorted(tuple(r) for r in shown.collect())
+    def __init__(self, spark):
+        self.bridge_return_products = spark.range(201).selectExpr(
+            "if(id = 200, 'small', 'hot') as order_id", "concat('P', id) as product_id", "1.0D as allocated_refund"
+        )
+        self.lines = spark.range(40_001).selectExpr(
+            "if(id = 40000, 'small', 'hot') as order_id", "concat('V', id % 200) as vendor_id"
+        )
 
-    direct = counted(10_000)
-    assert direct and counted(0) == direct and counted(6) == direct
+    def sales(self, measures):
+        return self.lines.select("order_id", *measures)
+
+    def returns(self):
+        return self.bridge_return_products.select("order_id")
+
+
+def test_vendors_and_products_of_a_crowded_order(spark, tiny_partitions):
+    pairs = metrics.vendor_product_returns(Crowded(spark)).groupBy("vendor_id", "product_id").count()
+    assert pairs.count() == 200 * 200 + 1
+    assert {r[0] for r in pairs.select("count").distinct().collect()} == {1}
 
 
 def test_copies_of_one_customer(spark):

@@ -229,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "check_unique": _on_mart(_check_unique),
     "check_accepted_values": _on_mart(_check_accepted_values),
     "check_in_range": _on_mart(_check_in_range),
+    "column_tests": _on_mart(lambda m: checks.column_tests(m.relation)),
     "dq_rejection_rates": _on_mart(_dq_rejection_rates),
     "dq_prompts": _on_mart(_dq_prompts),
     "dim_customers": _table("dim_customers"),
@@ -242,7 +243,7 @@ QUERIES: dict[str, Query] = {
     "fraud_thresholds": _on_mart(_fraud_thresholds),
     "fraud_scores": _on_mart(_fraud_scores),
     "flagged_return_customers": _on_mart(
-        lambda m: insights.flagged_return_customers(m).drop("generated_at", "investigation_brief")
+        lambda m: insights.flagged_return_customers(m).drop("generated_at")
     ),
     "kpi_totals": _on_mart(lambda m: insights.kpi_totals(_kpi_by_region(m)).drop("by_region")),
     "kpi_by_region": _on_mart(_kpi_by_region),

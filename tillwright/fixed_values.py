@@ -154,7 +154,6 @@ NOT_AMOUNT_PATTERN = r"[^0-9.\-]"
 
 SURROGATE_KEY_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_KEY_SEPARATOR = "-"
-MAX_CALENDAR_DAYS = 10_000
 SLOW_MOVING_SHARE = 0.25
 
 # --- Insights ----------------------------------------------------------------------------------------

@@ -11,29 +11,26 @@ from pyspark.sql import functions as F
 Model = Callable[[pd.Series], pd.Series]
 
 
-def drafting() -> Model:
+def draft(prompt: Column) -> Column:
     """Stands in for a model: says how long the prompt was and repeats it."""
-
-    # A local function, so it travels to the workers with its code and needs no package there.
-    def draft(prompts: pd.Series) -> pd.Series:
-        return "Draft for " + prompts.str.len().astype(str) + " characters: " + prompts
-
-    return draft
+    return F.concat(F.lit("Draft for "), F.length(prompt).cast("string"), F.lit(" characters: "), prompt)
 
 
 def complete(prompt: Column, model: Model | None = None) -> Column:
-    """Answers to the prompts, in Arrow batches; a NULL prompt has a NULL answer.
+    """Answers to the prompts; a NULL prompt has a NULL answer.
 
-    ``model`` gets a batch of non-NULL prompts and returns as many answers.
+    ``model`` gets an Arrow batch of non-NULL prompts and returns as many answers; without one a fixed template
+    answers, as a column expression.
     """
-    answer = model or drafting()
+    if model is None:
+        return draft(prompt)
 
     @F.pandas_udf("string")
     def answers(prompts: pd.Series) -> pd.Series:
         result = pd.Series([None] * len(prompts), index=prompts.index, dtype=object)
         asked = prompts.notna()
         if asked.any():
-            result[asked] = answer(prompts[asked]).astype(object)
+            result[asked] = model(prompts[asked]).astype(object)
         return result
 
     return answers(prompt)

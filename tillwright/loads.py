@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
+from tillwright.operators import rules
 from tillwright.plans import pipeline
 from tillwright.session import new_path
 from tillwright.sources import driver_tables, files, ingest
@@ -131,6 +133,7 @@ def _new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Incremental loads of landing rows
 
 LATE_FILE = "Region4/transactions_2.csv"
+LATE_ORDERS = "Region5/orders_3.csv"
 
 
 def _land(spark: SparkSession, sf_dir: str, tables: Tables, entity: str, keep=None, moment: datetime | None = None) -> None:
@@ -142,36 +145,45 @@ def _land(spark: SparkSession, sf_dir: str, tables: Tables, entity: str, keep=No
 
 
 def _incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three drops by load time; every layer takes only what is newer, and an extra run adds nothing."""
+    """Drops of all six entities by load time; every layer takes only what is newer, and an extra run adds nothing."""
     tables = Tables(spark, new_path(spark, "warehouse"))
-    for entity in ("customers", "transactions", "returns", "products", "vendors"):
-        _land(spark, sf_dir, tables, entity)
     minute = F.minute("_load_timestamp")
-    for drop in (0, 1, 2, None):
-        if drop is not None:
-            _land(spark, sf_dir, tables, "orders", minute == drop)
+    for drop in (minute == 0, minute == 1, minute >= 2, None):
+        for entity in fv.ENTITIES if drop is not None else ():
+            _land(spark, sf_dir, tables, entity, drop)
         pipeline.refresh_silver(tables, "incremental")
-    rejected = tables.read("rejected_records").where("source_table = 'clean_orders'")
-    clean = tables.read("clean_orders").select("order_id", F.lit(None).cast("string").alias("affected_field"), "_source_file")
-    return clean.unionByName(rejected.select(F.col("record_key").alias("order_id"), "affected_field", "_source_file"))
+    rejected = tables.read("rejected_records")
+    parts = [rejected.select("source_table", "record_key", "affected_field", "_source_file")]
+    for entity, key in rules.RECORD_KEY.items():
+        parts.append(tables.read(f"clean_{entity}").select(
+            F.lit(f"clean_{entity}").alias("source_table"), F.col(key).alias("record_key"),
+            F.lit(None).cast("string").alias("affected_field"), "_source_file",
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _late_lines(repair: bool) -> Query:
-    """Lines of one file land after their orders' sales were written: left out, or added by a repairing run."""
+def _late_lines(repair: bool, table: str = "fact_sales") -> Query:
+    """Lines and return events of one file land after their orders' facts were written.
+
+    A plain run leaves the lines out; a repairing run adds them, also after plain runs and when it is repeated.
+    """
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = Tables(spark, new_path(spark, "warehouse"))
-        for entity in ("customers", "orders", "returns", "products", "vendors"):
+        late_order = F.col("_source_file") == LATE_ORDERS
+        late_line = F.col("_source_file") == LATE_FILE
+        for entity in ("customers", "returns", "products", "vendors"):
             _land(spark, sf_dir, tables, entity)
-        late = F.col("_source_file") == LATE_FILE
-        _land(spark, sf_dir, tables, "transactions", ~late)
-        pipeline.refresh_silver(tables, "incremental")
-        pipeline.refresh_gold(tables, "incremental")
-        known = pipeline.watermark(tables.read("clean_transactions"))
-        _land(spark, sf_dir, tables, "transactions", late, datetime(2024, 1, 2))
-        pipeline.refresh_silver(tables, "incremental")
-        pipeline.refresh_gold(tables, "incremental", repair, known)
-        return tables.read("fact_sales")
+        _land(spark, sf_dir, tables, "orders", ~late_order)
+        _land(spark, sf_dir, tables, "transactions", ~late_line)
+        pipeline.transform_tables(tables)
+        _land(spark, sf_dir, tables, "orders", late_order, datetime(2024, 1, 2))
+        _land(spark, sf_dir, tables, "transactions", late_line, datetime(2024, 1, 2))
+        for _ in range(2):
+            pipeline.transform_tables(tables)
+        for _ in range(2 if repair else 0):
+            pipeline.transform_tables(tables, repair_late=True)
+        return tables.read(table)
 
     return query
 
@@ -226,6 +238,49 @@ def _stream_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _streamed_gold(late_gold: bool) -> Query:
+    """All six entities as two drops of files; the second brings orders and lines of the first one's counterparts.
+
+    With ``late_gold`` the calls that read rows leave gold out, as if they had broken off, and a last call, which
+    finds nothing new, makes up for it.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, tables = new_path(spark, "files"), Tables(spark, new_path(spark, "warehouse"))
+        checkpoint = new_path(spark, "stream")
+        second = {"orders": [LATE_ORDERS], "transactions": [LATE_FILE]}
+        names = {**{e: list(f) for e, f in CSV_FILES.items()}, **{e: list(f) for e, f in JSON_FILES.items()}}
+
+        def run(gold: bool) -> None:
+            streams.run_once(
+                spark, root, tables, checkpoint, gold, repair_late=True, routes=PART_ROUTES, reports=False
+            )
+
+        for entity in fv.ENTITIES:
+            _write_files(spark, sf_dir, root, [entity], [n for n in names[entity] if n not in second.get(entity, ())])
+        run(not late_gold)
+        for entity, late in second.items():
+            _write_files(spark, sf_dir, root, [entity], late)
+        run(not late_gold)
+        if late_gold:
+            run(True)
+        shown = {
+            "fact_sales": ("customer_sk", "product_sk", "sales"),
+            "fact_returns": ("customer_sk", "return_reason", "refund_amount"),
+            "bridge_return_products": ("product_sk", "product_id", "allocated_refund"),
+        }
+        parts = [
+            tables.read(name).select(
+                F.lit(name).alias("table_name"), "order_id", F.col(a).alias("first_key"), F.col(b).alias("second_key"),
+                F.col(amount).alias("amount"),
+            )
+            for name, (a, b, amount) in shown.items()
+        ]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    return query
+
+
 LOADS: dict[str, Query] = {
     "ingest_csv_customers": _ingested("customers"),
     "ingest_csv_transactions": _ingested("transactions"),
@@ -235,8 +290,12 @@ LOADS: dict[str, Query] = {
     "incremental_append": _incremental_append,
     "incremental_facts_late_data": _late_lines(repair=False),
     "incremental_facts_repaired": _late_lines(repair=True),
+    "incremental_returns_late_data": _late_lines(repair=False, table="fact_returns"),
+    "incremental_returns_repaired": _late_lines(repair=True, table="fact_returns"),
     "full_refresh_idempotent": _full_refresh_twice,
     "stream_ingest_available_now": _stream_landing,
     "stream_equals_batch": _stream_equals_batch,
     "stream_skip_empty": _stream_skip_empty,
+    "stream_to_gold": _streamed_gold(late_gold=False),
+    "stream_retry_gold": _streamed_gold(late_gold=True),
 }

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright import fixed_values as fv
 from tillwright.functions.keys import surrogate_key
 
 
@@ -42,23 +41,36 @@ def _span(df: DataFrame, column: str) -> DataFrame:
 
 
 def dates(clean_orders: DataFrame, clean_returns: DataFrame) -> DataFrame:
-    """Every day from January 1st of the first year to January 1st after the last, at most 10,000 days."""
+    """Every day from January 1st of the first year to January 1st after the last.
+
+    Years are generated first and days within each of them, so that no list is longer than a year, or than the
+    years a date can hold.
+    """
     span = (
         _span(clean_orders, "order_purchase_date")
         .unionByName(_span(clean_returns, "return_date"))
         .agg(F.trunc(F.min("first"), "YEAR").alias("first"), F.trunc(F.max("last"), "YEAR").alias("last"))
     )
-    end = F.least(F.add_months("last", 12), F.date_add("first", fv.MAX_CALENDAR_DAYS - 1))
-    days = span.where("first is not null").select(F.explode(F.sequence("first", end)).alias("date_key"))
-    weekday = F.dayofweek("date_key") - 1
-    return days.select(
-        surrogate_key("date_key").alias("date_sk"),
-        "date_key",
-        F.year("date_key").alias("year"),
-        F.quarter("date_key").alias("quarter"),
-        F.month("date_key").alias("month"),
-        F.monthname("date_key").alias("month_name"),
-        F.day("date_key").alias("day"),
-        weekday.alias("day_of_week"),
-        weekday.isin(0, 6).alias("is_weekend"),
+    years = span.where("first is not null").select(
+        F.add_months("last", 12).alias("end"),
+        F.explode(F.sequence(F.year("first"), F.year("last") + 1)).alias("in_year"),
     )
+    first, last = (F.make_date("in_year", F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    days = years.select("end", F.explode(F.sequence(first, last)).alias("date_key")).where("date_key <= end")
+    return days.select(*[value.alias(name) for name, value in date_attributes("date_key").items()])
+
+
+def date_attributes(day: str) -> dict[str, Column]:
+    """The calendar's columns for a date, which are functions of it; NULL for no date."""
+    weekday = F.dayofweek(day) - 1
+    return {
+        "date_sk": F.when(F.col(day).isNotNull(), surrogate_key(day)),
+        "date_key": F.col(day),
+        "year": F.year(day),
+        "quarter": F.quarter(day),
+        "month": F.month(day),
+        "month_name": F.monthname(day),
+        "day": F.day(day),
+        "day_of_week": weekday,
+        "is_weekend": weekday.isin(0, 6),
+    }

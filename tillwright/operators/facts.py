@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.numbers import exact_sum, ratio, rounded
+from tillwright.operators.dimensions import date_attributes
 
 
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, dim_key: str, columns: Sequence[str]) -> DataFrame:
@@ -23,22 +24,19 @@ def lookup(rows: DataFrame, dimension: DataFrame, key: str, dim_key: str, column
     return rows.join(wanted, rows[key] == wanted["_dim_key"], "left").drop("_dim_key")
 
 
-def date_lookup(rows: DataFrame, dim_dates: DataFrame, key: str, dim_key: str, columns: Sequence[str]) -> DataFrame:
-    """Broadcast, as the calendar is cut at 10,000 days: rows are never shuffled by their few, crowded dates."""
-    return lookup(rows, F.broadcast(dim_dates), key, dim_key, columns)
+def with_date(rows: DataFrame, day: str, columns: Sequence[str]) -> DataFrame:
+    """Calendar attributes of a date column; they are computed in place, as the calendar holds every date there is."""
+    known = date_attributes(day)
+    return rows.withColumns({c: known[c] for c in columns}) if columns else rows
 
 
 def keyed_orders(
-    orders: DataFrame,
-    dim_customers: DataFrame,
-    dim_dates: DataFrame,
-    customer: Sequence[str] = (),
-    date: Sequence[str] = (),
+    orders: DataFrame, dim_customers: DataFrame, customer: Sequence[str] = (), date: Sequence[str] = ()
 ) -> DataFrame:
     """Orders with customer and order-date attributes."""
     rows = orders.withColumn("order_date_key", F.col("order_purchase_date").cast("date"))
     rows = lookup(rows, dim_customers, "customer_id", "customer_id", customer)
-    return date_lookup(rows, dim_dates, "order_date_key", "date_key", date)
+    return with_date(rows, "order_date_key", date)
 
 
 def sales_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -69,10 +67,9 @@ def sales(
     dim_customers: DataFrame,
     dim_products: DataFrame,
     dim_vendors: DataFrame,
-    dim_dates: DataFrame,
 ) -> DataFrame:
     """Order-line grain."""
-    keyed = keyed_orders(orders, dim_customers, dim_dates, ["customer_sk"], ["date_sk"])
+    keyed = keyed_orders(orders, dim_customers, ["customer_sk"], ["date_sk"])
     lines = lookup(transactions, dim_products, "product_id", "product_id", ["product_sk"])
     joined = sales_lines(keyed.withColumnRenamed("date_sk", "order_date_sk"), lines)
     return lookup(joined, dim_vendors, "vendor_id", "vendor_id", ["vendor_sk"]).select(*FACT_SALES)
@@ -82,16 +79,15 @@ def returns(
     returned: DataFrame,
     orders: DataFrame,
     dim_customers: DataFrame,
-    dim_dates: DataFrame,
     customer: Sequence[str] = ("customer_sk",),
     date: Sequence[str] = ("date_sk",),
 ) -> DataFrame:
     """Return-event grain; the customer is found on the orders, whose customer ids are never NULL."""
-    keyed = keyed_orders(orders, dim_customers, dim_dates, customer).select(
+    keyed = keyed_orders(orders, dim_customers, customer).select(
         "order_id", "customer_id", "vendor_id", *customer
     )
     rows = returned.drop("_source_file").join(keyed, "order_id", "left")
-    rows = date_lookup(rows, dim_dates, "return_date", "date_key", date)
+    rows = with_date(rows, "return_date", date)
     return rows.withColumns({"return_date_key": F.col("return_date")})
 
 
@@ -101,12 +97,12 @@ FACT_RETURNS = (
 )
 
 
-def bridge(fact_returns: DataFrame, product_sales: DataFrame, order_sales: DataFrame) -> DataFrame:
+def bridge(fact_returns: DataFrame, product_sales: DataFrame) -> DataFrame:
     """Each refund spread over the products of its order, by their share of the order's sales.
 
-    ``product_sales`` has order_id, product_sk, product_id, sales; ``order_sales`` has order_id, sales; both
-    at any finer grain. Order totals are an aggregate of their own that is joined back rather than a window,
-    so an order with a great many products is summed in parts and its rows can be split over tasks.
+    ``product_sales`` has order_id, product_sk, product_id, sales at any finer grain. Order totals are a second
+    aggregate, over the sums per product, that is joined back rather than a window: the lines are read once,
+    and an order with a great many products is summed in parts and its rows can be split over tasks.
     """
     returned = fact_returns.groupBy("order_id").agg(
         F.max("return_date_sk").alias("return_date_sk"),
@@ -119,7 +115,7 @@ def bridge(fact_returns: DataFrame, product_sales: DataFrame, order_sales: DataF
     by_product = product_sales.groupBy("order_id", "product_sk").agg(
         F.max("product_id").alias("product_id"), exact_sum(F.col("sales")).alias("line_sales")
     )
-    totals = order_sales.groupBy("order_id").agg(exact_sum(F.col("sales")).alias("total_order_sales"))
+    totals = by_product.groupBy("order_id").agg(exact_sum(F.col("line_sales")).alias("total_order_sales"))
     weight = ratio(F.col("line_sales"), F.col("total_order_sales"))
     share = (F.col("refund_amount").cast("double") * F.col("allocation_weight")).cast("decimal(38,6)")
     return (

@@ -20,11 +20,8 @@ from tillwright.session import stage, stage_all
 
 COMPANY = "the company"
 
-# A KPI document lists at most about this many vendors; more vendors give more documents.
-VENDORS_PER_DOCUMENT = 10_000
-
-# Documents have at least one character and are joined by three, so this many always fill the context.
-CONTEXT_DOCUMENTS = fv.CONTEXT_CHARS // (1 + len(fv.CONTEXT_SEPARATOR)) + 1
+# Texts may be empty, but each one after the first brings a separator, so this many always fill the context.
+CONTEXT_DOCUMENTS = fv.CONTEXT_CHARS // len(fv.CONTEXT_SEPARATOR) + 1
 
 
 def _text(column: str) -> Column:
@@ -140,18 +137,12 @@ def _revenue_document(mart: Mart) -> DataFrame:
 
 
 def _vendor_documents(rates: DataFrame) -> DataFrame:
-    """Vendors are spread over documents by hash once they are too many for one."""
-    parts = max(1, -(-rates.count() // VENDORS_PER_DOCUMENT))
+    """One document per vendor, whatever their number."""
     vendor = F.struct(
         F.col("vendor_name").alias("vendor"), _money("total_sales"), _money("return_rate_pct", "return_rate"),
         _money("total_refunded"),
     )
-    lists = rates.groupBy(F.pmod(F.xxhash64("vendor_id"), F.lit(parts)).alias("part")).agg(
-        F.sort_array(F.collect_list(vendor)).alias("vendors")
-    )
-    return lists.select(
-        F.lit("vendor_return_rate").alias("insight_type"), F.to_json(F.struct("vendors")).alias("kpi_data")
-    )
+    return rates.select(F.lit("vendor_return_rate").alias("insight_type"), F.to_json(vendor).alias("kpi_data"))
 
 
 def top_return_costs(impact: DataFrame, k: int = fv.TOP_COST_ROWS) -> DataFrame:

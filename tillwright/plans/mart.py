@@ -110,7 +110,6 @@ class Mart:
                 self.dim_customers,
                 self.dim_products,
                 self.dim_vendors,
-                self.dim_dates,
             ),
         )
 
@@ -118,9 +117,7 @@ class Mart:
     def fact_returns(self) -> DataFrame:
         return self._table(
             "fact_returns",
-            lambda: facts.returns(
-                self.clean("returns"), self.clean("orders"), self.dim_customers, self.dim_dates
-            )
+            lambda: facts.returns(self.clean("returns"), self.clean("orders"), self.dim_customers)
             .withColumnRenamed("date_sk", "return_date_sk")
             .select(*facts.FACT_RETURNS),
         )
@@ -132,10 +129,13 @@ class Mart:
             lambda: facts.bridge(
                 self.returns(customer=[], date=["date_sk"]).withColumnRenamed("date_sk", "return_date_sk"),
                 self.sales(product=["product_sk"], measures=["product_id", "sales"]),
-                self.order_sales(),
             ),
         )
 
+    def relation(self, name: str) -> DataFrame:
+        """A clean table, dimension or fact by name."""
+        return self.clean(name.removeprefix("clean_")) if name.startswith("clean_") else getattr(self, name)
+
     # Facts joined to just the attributes a report needs
 
     def sales(
@@ -152,9 +152,9 @@ class Mart:
             rows = self._attach(rows, self.dim_customers, "customer_sk", customer)
             rows = self._attach(rows, self.dim_products, "product_sk", product)
             rows = self._attach(rows, self.dim_vendors, "vendor_sk", vendor)
-            rows = self._attach(rows, self.dim_dates, "order_date_sk", date, "date_sk")
+            rows = facts.with_date(rows, "order_date_key", date)
         else:
-            orders = facts.keyed_orders(self.clean("orders"), self.dim_customers, self.dim_dates, customer, date)
+            orders = facts.keyed_orders(self.clean("orders"), self.dim_customers, customer, date)
             lines = facts.lookup(self.clean("transactions"), self.dim_products, "product_id", "product_id", product)
             rows = facts.sales_lines(orders, lines)
             rows = facts.lookup(rows, self.dim_vendors, "vendor_id", "vendor_id", vendor)
@@ -171,13 +171,13 @@ class Mart:
             exact_sum(F.col("discount")).alias("discount"),
         ]
         if "fact_sales" in self._stored:
-            keys = ["order_id", "customer_id", "customer_sk", "order_date_sk"]
+            keys = ["order_id", "customer_id", "customer_sk", "order_date_key"]
             rows = self._stored["fact_sales"].groupBy(*keys).agg(*sums)
             rows = self._attach(rows, self.dim_customers, "customer_sk", customer)
-            rows = self._attach(rows, self.dim_dates, "order_date_sk", date, "date_sk")
+            rows = facts.with_date(rows, "order_date_key", date)
         else:
             totals = self.clean("transactions").groupBy("order_id").agg(*sums)
-            orders = facts.keyed_orders(self.clean("orders"), self.dim_customers, self.dim_dates, customer, date)
+            orders = facts.keyed_orders(self.clean("orders"), self.dim_customers, customer, date)
             rows = orders.join(totals, "order_id")
         measures = ["lines", "sales", "profit", "quantity", "discount"]
         return rows.select(*dict.fromkeys(["order_id", "customer_id", *customer, *date, *measures]))
@@ -187,15 +187,20 @@ class Mart:
         if "fact_returns" in self._stored:
             rows = self._stored["fact_returns"].withColumnRenamed("return_date_sk", "date_sk")
             rows = self._attach(rows, self.dim_customers, "customer_sk", customer)
-            return self._attach(rows, self.dim_dates, "date_sk", date, "date_sk")
-        return facts.returns(
-            self.clean("returns"), self.clean("orders"), self.dim_customers, self.dim_dates, customer, date
-        )
+            return facts.with_date(rows, "return_date_key", date)
+        return facts.returns(self.clean("returns"), self.clean("orders"), self.dim_customers, customer, date)
+
+    def order_products(self, customer: Sequence[str]) -> DataFrame:
+        """Customer attributes of each order, or of each product of an order where the facts are stored.
+
+        A stored fact may lack lines that its order has by now, so that the products count there.
+        """
+        if "fact_sales" in self._stored:
+            return self.sales(customer=customer, product=["product_sk"]).distinct()
+        orders = facts.keyed_orders(self.clean("orders"), self.dim_customers, customer)
+        return orders.select("order_id", *customer).distinct()
 
     @staticmethod
-    def _attach(
-        rows: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str], dim_key: str | None = None
-    ) -> DataFrame:
+    def _attach(rows: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
         missing = [c for c in columns if c not in rows.columns]
-        join = facts.date_lookup if dim_key == "date_sk" else facts.lookup
-        return join(rows, dimension, key, dim_key or key, missing)
+        return facts.lookup(rows, dimension, key, key, missing)

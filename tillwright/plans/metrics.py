@@ -13,9 +13,6 @@ from tillwright.session import stage
 
 MONTH = ("year", "month", "month_name")
 
-# Most vendor and product pairs an order may have to be paired directly.
-PAIRS_PER_ORDER = 10_000
-
 
 def _whole(col: Column) -> Column:
     return F.sum(col).cast("bigint")
@@ -177,14 +174,11 @@ def mv_return_reason_analysis(mart: Mart) -> DataFrame:
 
 
 def mv_product_return_impact(mart: Mart) -> DataFrame:
-    regions = (
-        mart.sales(customer=["region"], product=["product_sk"])
-        .where("region is not null and product_sk is not null")
-        .distinct()
-    )
+    regions = mart.order_products(["region"]).where("region is not null")
+    keys = [c for c in regions.columns if c != "region"]
     sums = (
         mart.bridge_return_products.where("product_sk is not null")
-        .join(regions, ["order_id", "product_sk"])
+        .join(regions, keys)
         .groupBy("product_sk", "region")
         .agg(
             F.count("*").alias("return_line_count"),
@@ -200,27 +194,17 @@ def mv_product_return_impact(mart: Mart) -> DataFrame:
     )
 
 
-def vendor_product_returns(mart: Mart, sold: DataFrame, most_pairs: int = PAIRS_PER_ORDER) -> DataFrame:
-    """Each returned product of an order beside each vendor of that order, for pairs that were ever sold.
+def vendor_product_returns(mart: Mart) -> DataFrame:
+    """Each returned product of an order beside each vendor of that order.
 
-    An ordinary order has a handful of either. One with a great many of both is not paired with itself: it
-    goes through the vendor and product pairs that ``sold`` holds, the only ones the report shows. An order
-    has no more vendors or products than lines, so a count of lines tells whether there can be such an order.
+    Vendors are kept of returned orders only, once per order; an order with a great many of both is split by
+    the skew join, and the pairs are summed where they are made.
     """
-    vendors = mart.sales(measures=["vendor_id"]).where("vendor_id is not null").distinct()
     products = mart.bridge_return_products.select("order_id", "product_id", "allocated_refund")
-    lines = mart.order_sales().groupBy("order_id").agg(F.sum("lines").alias("lines"))
-    if (lines.agg(F.max("lines")).first()[0] or 0) ** 2 <= most_pairs:
-        return products.join(vendors, "order_id")
-    vendors, products = stage(vendors, "order_vendors"), stage(products, "order_products")
-    sizes = vendors.groupBy("order_id").agg(F.count("*").alias("n_vendors")).join(
-        products.groupBy("order_id").agg(F.count("*").alias("n_products")), "order_id"
-    )
-    crowded = sizes.where(F.col("n_vendors") * F.col("n_products") > most_pairs).select("order_id")
-    ordinary = products.join(vendors.join(crowded, "order_id", "left_anti"), "order_id")
-    pairs = sold.select("vendor_id", "product_id").distinct()
-    candidates = vendors.join(crowded, "order_id", "left_semi").join(pairs, "vendor_id")
-    return ordinary.unionByName(products.join(candidates, ["order_id", "product_id"]))
+    vendors = mart.sales(measures=["vendor_id"]).where("vendor_id is not null")
+    returned = mart.returns().select("order_id")
+    vendors = vendors.join(returned, "order_id", "left_semi").distinct()
+    return products.join(vendors, "order_id")
 
 
 def mv_vendor_product_performance(mart: Mart) -> DataFrame:
@@ -238,7 +222,7 @@ def mv_vendor_product_performance(mart: Mart) -> DataFrame:
         )
     )
     returned = (
-        vendor_product_returns(mart, sold)
+        vendor_product_returns(mart)
         .groupBy("vendor_id", "product_id")
         .agg(
             F.count("*").alias("return_count"),

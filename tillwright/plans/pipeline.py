@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
 from tillwright.functions.completion import Model
-from tillwright.operators import rules
+from tillwright.operators import checks
+from tillwright.operators.facts import FACT_SALES, lookup, with_date
 from tillwright.plans import insights, metrics
 from tillwright.plans.mart import Mart
 from tillwright.session import stage, together
@@ -60,46 +60,53 @@ def run(
 def transform(tables: Tables, mode: str = "full", repair_late: bool = False, model: Model | None = None) -> None:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    known_lines = watermark(tables.read("clean_transactions")) if mode == "incremental" else None
-    refresh_silver(tables, mode)
-    refresh_gold(tables, mode, repair_late, known_lines)
+    transform_tables(tables, mode, repair_late)
     refresh_reports(tables, model)
 
 
+def transform_tables(tables: Tables, mode: str = "incremental", repair_late: bool = False) -> None:
+    """Silver and gold without the reports."""
+    refresh_silver(tables, mode)
+    refresh_gold(tables, mode, repair_late)
+
+
 def refresh_silver(tables: Tables, mode: str) -> None:
-    """Bronze, clean and quarantine; in incremental mode each target takes rows newer than its newest."""
+    """Bronze, clean and quarantine; in incremental mode each target takes rows newer than its newest.
+
+    Rows are chosen before they are parsed: the mark is a filter on the stored files.
+    """
     put = tables.replace if mode == "full" else tables.append_newer
     together([
         lambda e=entity: put(f"raw_{e}", extract(tables.read(landing_name(e)), e)) for entity in fv.ENTITIES
     ])
-    layer = Mart(stored=tables.stored([f"raw_{e}" for e in fv.ENTITIES]))
-    clean = {f"clean_{e}": layer.clean_anew(e) for e in fv.ENTITIES}
-    together([lambda n=name, rows=rows: put(n, rows) for name, rows in clean.items()])
+    marks = {e: None if mode == "full" else watermark(tables.read(f"clean_{e}")) for e in fv.ENTITIES}
+    write = tables.replace if mode == "full" else tables.append
+    fresh = newer_layer(tables, marks)
+    together([lambda e=entity: write(f"clean_{e}", fresh.clean_anew(e)) for entity in fv.ENTITIES])
     if mode == "full" or tables.read("rejected_records") is None:
-        tables.replace("rejected_records", layer.rejected_records)
+        tables.replace("rejected_records", newer_layer(tables, {}).rejected_records)
     else:
-        append_newer_rejects(tables, layer)
+        tables.append("rejected_records", newer_layer(tables, reject_marks(tables)).rejected_records)
+
 
+def newer_layer(tables: Tables, marks: Mapping[str, datetime | None]) -> Mart:
+    """Bronze rows newer than the mark of their entity, to be parsed; without a mark all of them."""
+    bronze = tables.stored([f"raw_{e}" for e in fv.ENTITIES])
+    return Mart(stored={f"raw_{e}": newer(bronze[f"raw_{e}"], marks.get(e)) for e in fv.ENTITIES})
 
-def append_newer_rejects(tables: Tables, layer: Mart) -> None:
-    """Each entity has a mark of its own, so a slow source is not cut off by a faster one."""
+
+def reject_marks(tables: Tables) -> dict[str, datetime]:
+    """Each entity has a mark of its own in the quarantine, so a slow source is not cut off by a faster one."""
     marks = tables.read("rejected_records").groupBy("source_table").agg(F.max("_load_timestamp").alias("mark")).collect()
-    by_table = {r["source_table"]: r["mark"] for r in marks}
-    new = []
-    for entity in fv.ENTITIES:
-        found = rules.rejected(layer.harmonized(entity), entity)
-        new.append(newer(found, by_table.get(f"clean_{entity}")))
-    tables.append("rejected_records", reduce(DataFrame.unionByName, new))
+    return {r["source_table"].removeprefix("clean_"): r["mark"] for r in marks}
 
 
-def refresh_gold(
-    tables: Tables, mode: str, repair_late: bool = False, known_lines: datetime | None = None
-) -> None:
+def refresh_gold(tables: Tables, mode: str, repair_late: bool = False) -> None:
     """Dimensions and the bridge are rebuilt; facts are appended to in incremental mode.
 
     Facts follow the newest order and the newest return event: a line that lands after its order, or an
-    order that lands after its return, does not change facts already written. ``repair_late`` adds such
-    lines (those newer than ``known_lines``) to the sales and rebuilds the returns.
+    order that lands after its return, does not change facts already written. ``repair_late`` adds every line
+    that the sales lack, whichever run it landed in, and rebuilds the returns.
     """
     fresh = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products", *DIMENSIONS))
     dimensions = {name: getattr(fresh, name) for name in DIMENSIONS}
@@ -112,13 +119,11 @@ def refresh_gold(
     else:
         sales_mark = watermark(tables.read("fact_sales"))
         returns_mark = watermark(tables.read("fact_returns"))
-        orders, lines, returned = (tables.read(f"clean_{e}") for e in ("orders", "transactions", "returns"))
-        new_sales = mart(tables, {"clean_orders": newer(orders, sales_mark)}, facts).fact_sales
-        if repair_late and sales_mark is not None:
-            earlier = orders.where(F.col("_load_timestamp") <= files.timestamp(sales_mark))
-            late = mart(tables, {"clean_orders": earlier, "clean_transactions": newer(lines, known_lines)}, facts)
-            new_sales = new_sales.unionByName(late.fact_sales)
-        tables.append("fact_sales", new_sales)
+        orders, returned = (tables.read(f"clean_{e}") for e in ("orders", "returns"))
+        if repair_late:
+            tables.append("fact_sales", stage(missing_sales(tables), "missing_sales"))
+        else:
+            tables.append("fact_sales", mart(tables, {"clean_orders": newer(orders, sales_mark)}, facts).fact_sales)
         if repair_late:
             tables.replace("fact_returns", mart(tables, without=facts).fact_returns)
         else:
@@ -127,9 +132,25 @@ def refresh_gold(
     tables.replace("bridge_return_products", mart(tables, without=("bridge_return_products",)).bridge_return_products)
 
 
+def missing_sales(tables: Tables) -> DataFrame:
+    """The sales that orders and lines give by now and the stored facts lack, each as often as it is missing.
+
+    Surrogate keys are left out of the comparison, as a dimension may have grown since, and added afterwards.
+    """
+    whole = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products"))
+    own = [c for c in FACT_SALES if not c.endswith("_sk")]
+    lacking = whole.fact_sales.select(*own).exceptAll(tables.read("fact_sales").select(*own))
+    keys = (("dim_customers", "customer"), ("dim_products", "product"), ("dim_vendors", "vendor"))
+    for dimension, name in keys:
+        lacking = lookup(lacking, getattr(whole, dimension), f"{name}_id", f"{name}_id", [f"{name}_sk"])
+    dated = with_date(lacking, "order_date_key", ["date_sk"]).withColumnRenamed("date_sk", "order_date_sk")
+    return dated.select(*FACT_SALES)
+
+
 def refresh_reports(tables: Tables, model: Model | None = None) -> None:
-    """Stored reports and texts; the other reports and the audit become views."""
+    """Column tests, stored reports and texts; the other reports and the audit become views."""
     whole = mart(tables)
+    tables.replace("column_tests", checks.column_tests(whole.relation))
     together([lambda n=name: tables.replace(n, metrics.METRICS[n](whole)) for name in STORED_REPORTS])
     for name in VIEWS:
         metrics.METRICS[name](whole).createOrReplaceTempView(name)

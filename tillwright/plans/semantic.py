@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.numbers import exact_sum, percentage, rounded
 from tillwright.operators import checks
-from tillwright.operators.facts import date_lookup, lookup
+from tillwright.operators.facts import lookup, with_date
 from tillwright.plans import metrics
 from tillwright.plans.mart import Mart
 
@@ -44,8 +44,10 @@ def star(mart: Mart, fact: str, attributes: dict[str, Sequence[str]]) -> DataFra
         clash = set(columns) & set(rows.columns)
         if clash:
             raise ValueError(f"{table} columns already present: {sorted(clash)}")
-        join = date_lookup if table == "dim_dates" else lookup
-        rows = join(rows, getattr(mart, table), declared[0].left_key, declared[0].right_key, columns)
+        if table == "dim_dates":
+            rows = with_date(rows, declared[0].left_key.replace("_sk", "_key"), columns)
+        else:
+            rows = lookup(rows, getattr(mart, table), declared[0].left_key, declared[0].right_key, columns)
     return rows
 
 
