@@ -658,7 +658,7 @@ GROUP BY ALL"""
     q["incremental_append"] = "SELECT source_table, record_key, split_part(v, ':', 1) AS affected_field, _source_file FROM rejects" + "".join(
         f" UNION ALL SELECT 'clean_{e}', {KEYS[e]}, NULL, _source_file FROM ok_{e}" for e in TESTS
     )
-    late_orders, late_lines = "Region5/orders_3.csv", "Region4/transactions_2.csv"
+    late_orders, late_lines = "Region1/orders_1.csv", "Region4/transactions_2.csv"
     moved = f"IF(order_file = '{late_orders}', TIMESTAMP '2024-01-02 00:00:00', _load_timestamp)"
     sales = "SELECT * EXCLUDE (order_file, line_file) REPLACE ({} AS _load_timestamp) FROM sold{}"
     days = ("order_date_key", "order_purchase_date", "_load_timestamp")

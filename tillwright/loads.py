@@ -133,7 +133,7 @@ def _new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Incremental loads of landing rows
 
 LATE_FILE = "Region4/transactions_2.csv"
-LATE_ORDERS = "Region5/orders_3.csv"
+LATE_ORDERS = "Region1/orders_1.csv"
 
 
 def _land(spark: SparkSession, sf_dir: str, tables: Tables, entity: str, keep=None, moment: datetime | None = None) -> None:
