@@ -1,15 +1,17 @@
-"""Every registered query against its SQL text on another engine."""
+"""Every query of the catalogue against its SQL text on another engine; the text operators have tests of their own."""
 
 from __future__ import annotations
 
 import pytest
 
 import __spark_entry__ as entry
+from oracle.sql import oracle
 from tests.compare import connect, differences
 from tests.conftest import SMALL
+from tillwright import catalogue
 
 QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +20,12 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(catalogue.QUERIES) == set(ORACLE)
+    assert set(catalogue.QUERIES) <= set(QUERIES)
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
 
