@@ -139,7 +139,7 @@ def _check_in_range(m: Mart) -> DataFrame:
 
 
 def _dq_rejection_rates(m: Mart) -> DataFrame:
-    rows = insights.with_rejection_rates(insights.rejection_groups(m.rejected_records), m.pipeline_audit_log)
+    rows = insights.with_rejection_rates(insights.rejection_groups(m.hold_rejects().rejected_records), m.pipeline_audit_log)
     samples = F.size(F.split("sample_records", r" \| \{")).alias("n_samples")
     return rows.select(
         "entity", "affected_field", "issue_type", "rejected_count", "total_entity_records", "rejection_rate_pct", samples

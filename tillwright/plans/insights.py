@@ -225,7 +225,7 @@ def with_rejection_rates(groups: DataFrame, audit: DataFrame) -> DataFrame:
 
 
 def dq_audit_report(mart: Mart, model: Model | None = None, company: str = COMPANY) -> DataFrame:
-    rows = with_rejection_rates(rejection_groups(mart.rejected_records), mart.pipeline_audit_log)
+    rows = with_rejection_rates(rejection_groups(mart.hold_rejects().rejected_records), mart.pipeline_audit_log)
     prompt = fill(
         fv.QUALITY_PROMPT,
         {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwright import fixed_values as fv
 from tillwright.functions.numbers import exact_sum
 from tillwright.operators import dimensions, facts, harmonize, rules
-from tillwright.session import stage_all
+from tillwright.session import stage, stage_all
 from tillwright.sources.landing import extract
 
 
@@ -65,6 +65,12 @@ class Mart:
         self._stored |= stage_all({f"clean_{e}": self.clean(e) for e in missing})
         return self
 
+    def hold_rejects(self) -> Mart:
+        """Write the quarantine if it is not stored, for a report that reads it several times."""
+        if "rejected_records" not in self._stored:
+            self._stored["rejected_records"] = stage(self.rejected_records, "rejected_records")
+        return self
+
     def clean(self, entity: str) -> DataFrame:
         return self._table(f"clean_{entity}", lambda: self.clean_anew(entity))
 
