@@ -30,7 +30,8 @@ from tillwright.session import stage
 WINDOW = 10
 BLOCK_WORDS = 2
 PIECE_WORDS = 2000
-BLOCK_BYTES = 8 << 20
+# A block's windows take some 50 times its bytes in memory.
+BLOCK_BYTES = 2 << 20
 SEGMENT = 256
 
 FOUND = "struct<n_words: bigint, runs: array<int>, items: array<string>>"
@@ -43,9 +44,10 @@ class Searcher:
         self.length, self.block = length, min(BLOCK_WORDS, length)
         blocks = self._blocks(hashes.ravel()).reshape(-1)
         n = len(hashes)
-        bits = max(10, int(4 * n * length).bit_length())
+        # about four entries for each different block, as neighbouring windows share theirs
+        bits = max(10, int(4 * (n + length)).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
-        self.shifts = np.full(1 << bits, length - self.block + 1, dtype=np.int64)
+        self.shifts = np.full(1 << bits, length - self.block + 1, dtype=np.uint8)
         for j in range(self.block - 1, length):  # j: the last word of a block within the window
             at = blocks[np.arange(n) * length + j] & self.mask
             np.minimum.at(self.shifts, at, length - 1 - j)
@@ -76,7 +78,7 @@ class Searcher:
         blocks = self._blocks(words.hashes)
         stops = []
         while len(at):
-            skip = self.shifts[blocks[at] & self.mask]
+            skip = self.shifts[blocks[at] & self.mask].astype(np.int64)
             stops.append(at[skip == 0])
             at = at + np.maximum(skip, 1)
             inside = at < end
