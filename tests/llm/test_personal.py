@@ -78,5 +78,18 @@ def test_contexts_of_seeds_find_more(spark):
     assert [r["spans"] for r in found if r["doc_id"] is None] == ["id:7:14"] * 2
 
 
+def test_keys_are_seeds_and_spans_only_in_trusted_contexts(spark):
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(8)]
+    rows = [(i, f'some words token = "{k}" and more') for i, k in enumerate(keys)]
+    # another identifier where keys stand; a key, letters only and digits only where other words stand as well
+    rows += [(8, 'token = "user-77812" x'), (9, f"the {keys[0]} of the"), (10, f"a {'ab' * 20} b"), (11, f"the {'7' * 33} of")]
+    rows += [(12, "the words of the text")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r["doc_id"]: r["spans"] for r in personal.report(docs).collect()}
+    assert all(spans[i] == "id:20:60" for i in range(8))
+    assert spans[8] == "id:9:19"
+    assert all(spans[i] == "" for i in (9, 10, 11, 12))
+
+
 def test_empty_table(spark):
     assert personal.report(documents(spark, TEXTS).limit(0)).count() == 0

@@ -1,11 +1,12 @@
 """Personal data: spans of fixed kinds, and further identifiers found by the contexts that these stand in.
 
-Base spans come from one pattern per kind and a check. They are the seeds of a bootstrap: the words and signs before
-an entity are its lexical pattern, and patterns and instances form a graph. In each round a pattern is worth the
+Base spans come from one pattern per kind and a check. They and keys (long runs of hexadecimal digits, which no text
+holds by chance) are the seeds of a bootstrap: the words and signs before an entity are its lexical pattern, and
+patterns and instances form a graph. In each round a pattern is worth the
 share of its occurrences, before whatever word, that introduce an instance, each weighted by its worth (seeds 1), and
 an unknown instance is worth what its best pattern is. So "the " is worth nothing, as it introduces all sorts of
 words. Instances that a pattern of high confidence introduces become spans of kind "id", unless they overlap a base
-span.
+span; a key is a span only where such a pattern introduces it.
 
 Only DataFrame functions are used. Positions follow from the lengths of the pieces between matches; patterns are
 written so that a text is read in linear time and without recursion.
@@ -39,6 +40,8 @@ _NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20\-]?[0-9]",
 _RUN = r"[\p{L}0-9@._%+/\-]"
 TOKEN = rf"(?<!{_RUN})(?=[\p{{L}}._%+/\-]*+[0-9@]){_RUN}++"
 LEAST_TOKEN = 6
+# Of these, the ones that are seeds: digests and access keys, with both letters and digits.
+KEY = r"^(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}$"
 # The last word and the signs between it and an instance, or between it and any next word.
 CONTEXT_CHARS = 32
 _SIGNS = r"[^\p{L}0-9@._%+/\-]"
@@ -205,13 +208,15 @@ def spans(docs: DataFrame) -> DataFrame:
     )
     found = stage(found.select("doc_id", "version", "base", alone.alias("tokens")), "spans")
     mentions = found.select("doc_id", "version", F.explode(F.concat("base", "tokens")).alias("m"))
+    own = F.col("m.kind") != "id"
     mentions = mentions.select(
-        "doc_id", "version", "m.start", "m.end", "m.context", "m.instance", (F.col("m.kind") != "id").alias("seed")
-    )
+        "doc_id", "version", "m.start", "m.end", "m.context", "m.instance", own.alias("base"),
+        (own | F.col("m.instance").rlike(KEY)).alias("seed"),
+    )
     named = mentions.where(F.col("context") != "")
     edges = named.groupBy("context", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times"))
     trusted = confident_patterns(stage(edges, "edges"), docs.select("text"))
-    further = named.where("NOT seed").join(trusted, "context").groupBy("doc_id", "version").agg(
+    further = named.where("NOT base").join(trusted, "context").groupBy("doc_id", "version").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("further")
     )
     further = further.withColumnsRenamed({"doc_id": "id", "version": "of"})
