@@ -684,6 +684,7 @@ GROUP BY ALL"""
     )
     q["stream_ingest_available_now"] = q["ingest_new_files_only"]
     q["stream_equals_batch"] = f"SELECT {TYPED_COLUMNS['orders']}, _source_file FROM ok_orders"
+    q["reset_and_reload"] = q["stream_equals_batch"]
     q["stream_to_gold"] = (
         "SELECT 'fact_sales' AS table_name, order_id, customer_sk AS first_key, product_sk AS second_key, sales AS amount FROM sold "
         "UNION ALL SELECT 'fact_returns', order_id, customer_sk, return_reason, refund_amount FROM sent_back "

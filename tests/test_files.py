@@ -97,6 +97,47 @@ def test_modes_and_report(spark, source, tmp_path):
     assert watermark(tables.read("landing_orders")) == datetime(2024, 1, 3)
 
 
+def test_a_load_that_broke_off_is_not_repeated(spark, source, tmp_path, monkeypatch):
+    root, write = source
+    tables = Tables(spark, str(tmp_path / "wh"))
+    names = [ingest.landing_name(e) for e in ("customers", "returns", "products")]
+
+    def load(day):
+        ingest.ingest(spark, str(root), tables, mode="incremental", load_time=datetime(2024, 1, day))
+        return [tables.read(n).count() for n in names]
+
+    first = load(1)
+    write("Region3/customers_3.csv", "cust_id\nA-7\n")
+    record = ingest.record
+
+    def broken(*arguments):
+        raise RuntimeError("stopped before the files were noted")
+
+    monkeypatch.setattr(ingest, "record", broken)
+    with pytest.raises(RuntimeError):
+        load(2)
+    monkeypatch.setattr(ingest, "record", record)
+    grown = [first[0] + 1, *first[1:]]
+    assert load(3) == grown
+    # from now on the landing tables are not searched for files
+    monkeypatch.setattr(ingest, "_landed", broken)
+    assert load(4) == grown
+    write("Region3/customers_4.csv", "cust_id\nA-8\n")
+    assert load(5) == [grown[0] + 1, *grown[1:]]
+
+
+def test_a_warehouse_without_a_table_of_loaded_files(spark, source, tmp_path):
+    root, _ = source
+    tables = Tables(spark, str(tmp_path / "wh"))
+    ingest.ingest(spark, str(root), tables, load_time=datetime(2024, 1, 1))
+    counts = {tuple(r) for r in ingest.row_counts(tables).collect()}
+    ingest.forget_loads(tables)
+    for day in (2, 3):
+        report = ingest.ingest(spark, str(root), tables, mode="incremental", load_time=datetime(2024, 1, day))
+        assert {r["status"] for r in report.collect()} == {"skipped"}
+        assert {tuple(r) for r in ingest.row_counts(tables).collect()} == counts
+
+
 def test_unreadable_file_leaves_the_others(spark, source, tmp_path):
     root, write = source
     write("Region5/customers_5.csv.csv", "customer_id,region\nA-9,W\n")

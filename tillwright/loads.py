@@ -230,6 +230,17 @@ def _stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _whole_file(tables.read("clean_orders").drop("_load_timestamp"), "_source_file")
 
 
+def _reset_and_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are streamed, the warehouse is reset, and the same files are streamed again."""
+    root, tables = new_path(spark, "files"), Tables(spark, new_path(spark, "warehouse"))
+    checkpoint = new_path(spark, "stream")
+    _write_files(spark, sf_dir, root, ["orders"])
+    streams.run_once(spark, root, tables, checkpoint, gold=False)
+    streams.reset(tables, checkpoint)
+    streams.run_once(spark, root, tables, checkpoint, gold=False)
+    return _whole_file(tables.read("clean_orders").drop("_load_timestamp"), "_source_file")
+
+
 def _stream_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows the last run read, beside the rows that are there."""
     tables, last = _streamed_orders(spark, sf_dir)
@@ -296,6 +307,7 @@ LOADS: dict[str, Query] = {
     "stream_ingest_available_now": _stream_landing,
     "stream_equals_batch": _stream_equals_batch,
     "stream_skip_empty": _stream_skip_empty,
+    "reset_and_reload": _reset_and_reload,
     "stream_to_gold": _streamed_gold(late_gold=False),
     "stream_retry_gold": _streamed_gold(late_gold=True),
 }

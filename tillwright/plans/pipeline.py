@@ -16,7 +16,7 @@ from tillwright.plans import insights, metrics
 from tillwright.plans.mart import Mart
 from tillwright.session import stage, together
 from tillwright.sources import files
-from tillwright.sources.ingest import MODES, ingest, landing_name
+from tillwright.sources.ingest import MODES, forget_loads, ingest, landing_name
 from tillwright.sources.landing import extract
 from tillwright.sources.tables import Tables, newer, watermark
 
@@ -35,6 +35,17 @@ TABLES = (
     "bridge_return_products",
 )
 
+TEXTS = ("flagged_return_customers", "ai_business_insights", "dq_audit_report", "rag_documents", "rag_query_history")
+
+
+def drop_outputs(tables: Tables) -> None:
+    """Remove all tables and views of a warehouse, and what it knows of loaded files."""
+    forget_loads(tables)
+    for name in (*TABLES, *STORED_REPORTS, *TEXTS, "column_tests"):
+        tables.drop(name)
+    for name in (*VIEWS, "pipeline_audit_log"):
+        tables.spark.catalog.dropTempView(name)
+
 
 def mart(tables: Tables, replaced: Mapping[str, DataFrame] | None = None, without: tuple[str, ...] = ()) -> Mart:
     """The stored warehouse, with some relations given anew and some left to be derived."""

@@ -1,4 +1,9 @@
-"""Loading source files into the landing tables, in full or only the files not loaded before."""
+"""Loading source files into the landing tables, in full or only the files not loaded before.
+
+Which files a warehouse holds is told from a small table of loaded files. A load notes its time before it lands
+anything, and its files afterwards: a load that broke off in between is found by its time, and only its rows are
+looked up in the landing tables.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +22,11 @@ from tillwright.sources.tables import Tables
 REPORT_SCHEMA = "entity string, source_file string, status string, message string"
 MODES = ("full", "incremental")
 
+LOADED_FILES = "loaded_files"
+LOADED_SCHEMA = "entity string, source_file string, _load_timestamp timestamp_ntz"
+LOADS_STARTED = "loads_started"
+STARTED_SCHEMA = "_load_timestamp timestamp_ntz"
+
 
 def landing_name(entity: str) -> str:
     return f"landing_{entity}"
@@ -33,21 +43,21 @@ def ingest(
 ) -> DataFrame:
     """Land the files below ``source_root`` and report on each of them.
 
-    ``full`` empties the landing tables and loads every file; ``incremental`` skips files that a landing
-    table already holds. All rows of one call carry one load timestamp.
+    ``full`` empties the landing tables and loads every file; ``incremental`` skips files loaded before, also
+    those without rows. All rows of one call carry one load timestamp.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     listed = files.routed(files.list_files(spark, source_root), routes)
-    if mode == "incremental":
-        listed = listed.join(_loaded(tables), ["entity", "source_file"], "left_anti")
-    else:
+    if mode == "full":
+        # without the table of files, a run after a broken one tells them from the landing tables
+        forget_loads(tables)
         for entity in fv.ENTITIES:
             tables.replace(landing_name(entity), spark.createDataFrame([], LANDING_SCHEMA))
-    new = defaultdict(dict)
-    for row in listed.collect():
-        new[row["entity"]][row["path"]] = row["source_file"]
+    new = missing(tables, listed)
     moment = load_time or files.now()
+    if any(new.values()):
+        start(tables, moment)
     entries: list[tuple] = []
     for entity in fv.ENTITIES:
         if not new[entity]:
@@ -55,6 +65,8 @@ def ingest(
             entries.append((entity, None, "warning" if mode == "full" else "skipped", message))
             continue
         entries += land(spark, entity, new[entity], source_root, tables, moment, multiline)
+    if any(new.values()):
+        record(tables, moment, entries)
     return _with_counts(spark.createDataFrame(entries, REPORT_SCHEMA), tables, moment)
 
 
@@ -132,14 +144,57 @@ def _readers(
     return dict(groups), entries
 
 
+def forget_loads(tables: Tables) -> None:
+    for name in (LOADED_FILES, LOADS_STARTED):
+        tables.drop(name)
+
+
+def start(tables: Tables, moment: datetime) -> None:
+    """Note that a load begins, before it lands anything."""
+    tables.append(LOADS_STARTED, tables.spark.createDataFrame([(moment,)], STARTED_SCHEMA).coalesce(1))
+
+
+def record(tables: Tables, moment: datetime, entries: list[tuple]) -> None:
+    """Note the files of a load that has ended; the row without a file ends a load that landed none."""
+    rows = [(entity, file, moment) for entity, file, status, _ in entries if status == "loaded"]
+    found = tables.spark.createDataFrame([*rows, (None, None, moment)], LOADED_SCHEMA)
+    tables.append(LOADED_FILES, found.coalesce(1))
+
+
+def missing(tables: Tables, listed: DataFrame) -> dict[str, dict[str, str]]:
+    """Of the listed (path, source_file, entity) those that were not loaded, as entity -> path -> file."""
+    new: dict[str, dict[str, str]] = defaultdict(dict)
+    for row in listed.join(_loaded(tables), ["entity", "source_file"], "left_anti").collect():
+        new[row["entity"]][row["path"]] = row["source_file"]
+    return new
+
+
 def _loaded(tables: Tables) -> DataFrame:
-    """Files that the landing tables hold rows of."""
-    found = tables.spark.createDataFrame([], "entity string, source_file string")
+    """The table of loaded files, with the files of loads that broke off added to it."""
+    if tables.read(LOADED_FILES) is None:
+        tables.replace(LOADED_FILES, _landed(tables))
+    started = tables.read(LOADS_STARTED)
+    if started is not None:
+        ended = tables.read(LOADED_FILES).select("_load_timestamp")
+        broken = [r[0] for r in started.join(ended, "_load_timestamp", "left_anti").distinct().collect()]
+        if broken:
+            ends = tables.spark.createDataFrame([(None, None, m) for m in broken], LOADED_SCHEMA)
+            tables.append(LOADED_FILES, _landed(tables, broken).unionByName(ends))
+    return tables.read(LOADED_FILES).select("entity", "source_file")
+
+
+def _landed(tables: Tables, moments: list[datetime] | None = None) -> DataFrame:
+    """The files that the landing tables hold rows of, of all loads or of those at some times."""
+    found = tables.spark.createDataFrame([], LOADED_SCHEMA)
     for entity in fv.ENTITIES:
         landed = tables.read(landing_name(entity))
         if landed is not None:
-            names = landed.select(F.lit(entity).alias("entity"), F.col("_source_file").alias("source_file"))
-            found = found.unionByName(names.distinct())
+            if moments is not None:
+                landed = landed.where(F.col("_load_timestamp").isin(*[files.timestamp(m) for m in moments]))
+            names = landed.groupBy(F.col("_source_file").alias("source_file")).agg(
+                F.max("_load_timestamp").alias("_load_timestamp")
+            )
+            found = found.unionByName(names.select(F.lit(entity).alias("entity"), "source_file", "_load_timestamp"))
     return found
 
 

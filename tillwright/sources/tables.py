@@ -46,11 +46,21 @@ class Tables:
     def put_batch(self, name: str, rows: DataFrame, batch_id: int | str) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path(name)}/{BATCH}={batch_id}")
 
+    def drop(self, name: str) -> None:
+        """Remove a table's folder; a table that was never written is no error."""
+        remove_folder(self.spark, self.path(name))
+
     def append_newer(self, name: str, rows: DataFrame) -> None:
         """Append the rows loaded after the newest row of the target."""
         self.append(name, newer(rows, watermark(self.read(name))))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def watermark(target: DataFrame | None) -> datetime | None:
     """Newest load timestamp; None for a target that is missing or empty, which then takes every row."""
     return None if target is None else target.agg(F.max("_load_timestamp")).first()[0]
