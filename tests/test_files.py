@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
 from tillwright.plans import pipeline
+from tillwright.session import shared_dir
 from tillwright.sources import files, ingest
 from tillwright.sources.landing import extract
 from tillwright.sources.tables import Tables, newer, watermark
@@ -204,3 +206,4 @@ def test_whole_pipeline(spark, source, tmp_path):
     assert spark.table("pipeline_audit_log").count() == 6
     pipeline.run(spark, str(root), tables, "full", datetime(2024, 1, 4))
     assert tables.read("fact_sales").count() == 3
+    assert not list(Path(shared_dir(spark)).glob("tillwright/run-*"))

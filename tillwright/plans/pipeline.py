@@ -14,7 +14,7 @@ from tillwright.operators import checks
 from tillwright.operators.facts import FACT_SALES, lookup, with_date
 from tillwright.plans import insights, metrics
 from tillwright.plans.mart import Mart
-from tillwright.session import stage, together
+from tillwright.session import scratch, stage, together
 from tillwright.sources import files
 from tillwright.sources.ingest import MODES, forget_loads, ingest, landing_name
 from tillwright.sources.landing import extract
@@ -119,6 +119,11 @@ def refresh_gold(tables: Tables, mode: str, repair_late: bool = False) -> None:
     order that lands after its return, does not change facts already written. ``repair_late`` adds every line
     that the sales lack, whichever run it landed in, and rebuilds the returns.
     """
+    with scratch(tables.spark):
+        _write_gold(tables, mode, repair_late)
+
+
+def _write_gold(tables: Tables, mode: str, repair_late: bool) -> None:
     fresh = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products", *DIMENSIONS))
     dimensions = {name: getattr(fresh, name) for name in DIMENSIONS}
     together([lambda n=name, rows=rows: tables.replace(n, rows) for name, rows in dimensions.items()])
@@ -160,12 +165,19 @@ def missing_sales(tables: Tables) -> DataFrame:
 
 def refresh_reports(tables: Tables, model: Model | None = None) -> None:
     """Column tests, stored reports and texts; the other reports and the audit become views."""
+    with scratch(tables.spark):
+        _write_reports(tables, model)
+    # views go on reading what they stage
     whole = mart(tables)
-    tables.replace("column_tests", checks.column_tests(whole.relation))
-    together([lambda n=name: tables.replace(n, metrics.METRICS[n](whole)) for name in STORED_REPORTS])
     for name in VIEWS:
         metrics.METRICS[name](whole).createOrReplaceTempView(name)
     whole.pipeline_audit_log.createOrReplaceTempView("pipeline_audit_log")
+
+
+def _write_reports(tables: Tables, model: Model | None) -> None:
+    whole = mart(tables)
+    tables.replace("column_tests", checks.column_tests(whole.relation))
+    together([lambda n=name: tables.replace(n, metrics.METRICS[n](whole)) for name in STORED_REPORTS])
     texts = {
         "flagged_return_customers": insights.flagged_return_customers,
         "ai_business_insights": insights.ai_business_insights,
@@ -173,13 +185,18 @@ def refresh_reports(tables: Tables, model: Model | None = None) -> None:
     }
     together([
         *[lambda n=name, text=text: tables.replace(n, text(whole, model)) for name, text in texts.items()],
-        lambda: refresh_documents(tables, whole),
+        lambda: _write_documents(tables, whole, None),
     ])
     tables.replace("rag_query_history", insights.rag_query_history(whole, model, tables.read("rag_documents")))
 
 
 def refresh_documents(tables: Tables, whole: Mart, moment: datetime | None = None) -> None:
     """Rewrite the document table; a document whose text did not change keeps its time."""
+    with scratch(tables.spark):
+        _write_documents(tables, whole, moment)
+
+
+def _write_documents(tables: Tables, whole: Mart, moment: datetime | None) -> None:
     documents = insights.rag_documents(whole)
     now = files.timestamp(moment or files.now())
     before = tables.read("rag_documents")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +46,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+# The folder of the run that a thread is in.
+_run: ContextVar[str] = ContextVar("run", default="")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tillwright/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/tillwright/{_run.get()}{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, on whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end; relations that read it must have been written by then."""
+    own = f"run-{uuid.uuid4().hex}/"
+    outer = _run.set(own)
+    try:
+        yield
+    finally:
+        _run.reset(outer)
+        remove_folder(spark, f"{shared_dir(spark)}/tillwright/{own}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +87,7 @@ WRITERS = 4
 def together(jobs: Iterable[Callable[[], object]]) -> list[object]:
     """Run independent Spark jobs side by side; the first failure is raised."""
     with ThreadPoolExecutor(WRITERS) as pool:
-        return [running.result() for running in [pool.submit(job) for job in jobs]]
+        return [running.result() for running in [pool.submit(copy_context().run, job) for job in jobs]]
 
 
 def stage_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

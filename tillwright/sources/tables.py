@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.session import remove_folder
 from tillwright.sources.files import timestamp
 
 
@@ -55,12 +56,6 @@ class Tables:
         self.append(name, newer(rows, watermark(self.read(name))))
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder with all it holds, on whatever file system its path names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def watermark(target: DataFrame | None) -> datetime | None:
     """Newest load timestamp; None for a target that is missing or empty, which then takes every row."""
     return None if target is None else target.agg(F.max("_load_timestamp")).first()[0]
