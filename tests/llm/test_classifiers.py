@@ -100,3 +100,12 @@ def test_largest_responses_are_those_of_each_window():
                 found = [sum(own[i + j] @ net.filters[k][j][:, f] for j in range(w) if i + j < len(own)) for i in range(len(own))]
                 expected = max([0.0, *(v + net.shift[k * filters + f] for v in found)])
                 assert best[t, k * filters + f] == pytest.approx(expected, rel=1e-4, abs=1e-4)
+
+
+def test_threshold_parts_the_labels():
+    assert toxicity.threshold(np.array([3.0, -1, 0, 5]), np.array([1, 0, 0, 1])) == 1.5
+    # one stray toxic text far below doesn't let the clean ones pass for toxic
+    logits = np.concatenate([[-9.0], np.linspace(-5, -1, 50), np.linspace(2, 4, 8)])
+    assert toxicity.threshold(logits, np.array([1] + [0] * 50 + [1] * 8)) == 0.5
+    # no cut between equal logits
+    assert toxicity.threshold(np.array([0.0, 1, 1, 2]), np.array([0, 0, 1, 1])) in (0.5, 1.5)
