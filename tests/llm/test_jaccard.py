@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +66,32 @@ def test_components_of_chains_and_stars(spark):
     found = dict(components.components(edges).collect())
     assert found == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in range(200, 203)}
     assert components.components(edges.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("others", [6, 27, 37])
+def test_links_among_the_few_that_a_pivot_covers(spark, others):
+    """One region: a pivot is within the bounds of two linked sets, but linked to neither; the others have no partner."""
+    rng = random.Random(8)
+    words = [[f"w{k}_{i}" for i in range(500)] for k in range(others + 1)]
+    pivot = words[0][:490]
+    near = list(pivot) + words[0][490:]
+    for i in range(0, 500, 37):
+        near[i] = f"x{i}"
+    nearer = [*near[:-1], "y"]
+    texts = [" ".join(t) for t in [pivot, near, nearer, *words[1:]]]
+    rng.shuffle(texts)
+    rule = jaccard.RULE
+    rows = []
+    for text in texts:
+        own = next(rule.sets(pa.array([text])))
+        rows.append((1, linkage.set_id(own), len(own), 0, linkage.sketch(own)))
+    regions = spark.createDataFrame(rows, "region bigint, id bigint, n int, pos int, sketch binary")
+    owned = spark.createDataFrame([(r[1], t) for r, t in zip(rows, texts)], "id bigint, text string")
+    _, found = linkage.links(regions, lambda ids: owned.join(ids, "id"), rule)
+    component = joined([shingles(t, 4) for t in texts], 85)
+    linked = {frozenset(rows[k][1] for k in range(len(texts)) if component[k] == c) for c in component if component.count(c) > 1}
+    assert [len(group) for group in linked] == [2]
+    groups = {}
+    for i, c in found.collect():
+        groups.setdefault(c, set()).add(i)
+    assert {frozenset(g) for g in groups.values()} == linked

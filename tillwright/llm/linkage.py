@@ -288,8 +288,9 @@ def links(
     # only sets with a possible partner are in a pair; the others are done
     left = members.drop("label").join(ids, "id", "left_semi").join(found, "id", "left")
     left = left.withColumn("label", F.coalesce("component", "id")).drop("component")
-    several = left.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("c"))
-    several = several.where((F.col("low") != F.col("high")) & (F.col("c") > SMALL)).select("region")
+    several = left.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    # also regions of which few members are left: in the first pass, pivots may have covered them all
+    several = several.where(F.col("low") != F.col("high")).select("region")
     rest = stage(candidates(left.join(several, "region", "left_semi"), rule, every=True).join(first, ["a", "b"], "left_anti"), "rest")
     if rest.isEmpty():
         return edges, found
