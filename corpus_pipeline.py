@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.llm import bpe, contamination, jaccard, lines, quality
+from tillwright.llm.linkage import Rule
 from tillwright.session import stage
 
+# The rule of op4's query is that query's contract; near copies are dropped by five words and 80 %.
+COPIES = Rule(size=5, percent=80)
+
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
@@ -20,7 +24,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by their shingles the one with the smallest id stays."""
-    return jaccard.distinct(docs)
+    return jaccard.distinct(docs, COPIES)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,13 @@ def test_empty_documents(spark):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, SMALL)
         assert docs.count() == 0
+
+
+def test_near_copies_by_five_words_and_80_percent(spark):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)] + [" ".join(base + [f"x{k}_{i}" for i in range(n)]) for k, n in enumerate([36, 44, 60])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    component = joined([shingles(t, 5) for t in texts], 80)
+    assert component == [0, 0, 0, 3] and joined([shingles(t, 4) for t in texts], 85) == [0, 1, 2, 3]
+    kept = corpus_pipeline.drop_copies(spark, docs, SMALL).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(component))
