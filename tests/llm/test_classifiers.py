@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import MEDIUM
 from tests.llm.shared import ODD_TEXTS, documents
-from tillwright.llm import quality, queries, toxicity
+from tillwright.llm import quality, queries, sampling, toxicity
 
 
 def _check(rows, folds, held_out, labels, column, least):
@@ -109,3 +109,14 @@ def test_threshold_parts_the_labels():
     assert toxicity.threshold(logits, np.array([1] + [0] * 50 + [1] * 8)) == 0.5
     # no cut between equal logits
     assert toxicity.threshold(np.array([0.0, 1, 1, 2]), np.array([0, 0, 1, 1])) in (0.5, 1.5)
+
+
+def test_sample_holds_a_row_per_id_and_no_labels_without_a_document(spark):
+    ids = list(range(40))
+    docs = spark.createDataFrame([(i, f"text {i} {k}") for i in ids for k in range(30 if i < 20 else 1)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(2000)], "doc_id bigint, quality int")
+    rows = sampling.labelled_sample(docs, labels, "quality", 4, 2, 5).collect()
+    assert len({r["doc_id"] for r in rows}) == len(rows) == 10
+    assert all(r["label"] == r["doc_id"] % 2 and r["text"].startswith(f"text {r['doc_id']} ") for r in rows)
+    again = sampling.labelled_sample(docs.repartition(7), labels, "quality", 4, 2, 5).collect()
+    assert sorted(rows) == sorted(again)

@@ -16,17 +16,20 @@ def labelled_sample(
 ) -> DataFrame:
     """(doc_id, text, label) of at most `per_class` documents of each class outside the held-out fold.
 
-    The labels with the smallest hash of their id are taken, so that the sample does not depend on the order of rows.
-    A document that is labelled twice takes the smallest label; rows of one id with several texts are all taken.
+    Of the labels that have a document, those with the smallest hash of their id are taken, so that the sample does not
+    depend on the order of rows. A document that is labelled twice takes the smallest label; of the rows of one id the
+    one whose text has the smallest hash is taken.
     """
     usable = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out)
     )
-    usable = usable.groupBy("id").agg(F.min("label").alias("label"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    usable = usable.groupBy("id").agg(F.min("label").alias("label")).join(texts.select("id"), "id", "left_semi")
     chosen = None
     for value in (0, 1):
         some = usable.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
     # at most 2 * per_class ids
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    return texts.join(F.broadcast(chosen), "id").select(F.col("id").alias("doc_id"), "text", "label")
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label")
+    one = rows.agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select(F.col("id").alias("doc_id"), "least.text", "label")
