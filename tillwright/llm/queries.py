@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bpe, chat, contamination, counts, fingerprints, jaccard, lines, oracles, personal, quality, toxicity
+from tillwright.llm import (
+    bpe,
+    chat,
+    contamination,
+    counts,
+    fingerprints,
+    jaccard,
+    lines,
+    oracles,
+    personal,
+    quality,
+    repair,
+    suffixes,
+    toxicity,
+)
 from tillwright.session import new_path
 
 
@@ -68,6 +82,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(_table(spark, sf_dir, "conversations"))
+
+
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat": op2_chat,
@@ -79,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op12_repair": op12_repair,
+    "op13_lm_scores": op13_lm_scores,
 }
 
 ORACLES: dict[str, str] = {
