@@ -19,6 +19,7 @@ from tillwright.llm import (
     personal,
     quality,
     repair,
+    spelling,
     suffixes,
     toxicity,
 )
@@ -82,6 +83,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(_table(spark, sf_dir, "conversations"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_repair": op12_repair,
     "op13_lm_scores": op13_lm_scores,
 }
