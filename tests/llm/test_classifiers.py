@@ -120,3 +120,18 @@ def test_sample_holds_a_row_per_id_and_no_labels_without_a_document(spark):
     assert all(r["label"] == r["doc_id"] % 2 and r["text"].startswith(f"text {r['doc_id']} ") for r in rows)
     again = sampling.labelled_sample(docs.repartition(7), labels, "quality", 4, 2, 5).collect()
     assert sorted(rows) == sorted(again)
+
+
+def test_responses_in_blocks_are_those_of_whole_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    bounds = np.cumsum([0, 5, 0, 1, 300, 2, 0, 40, 1])
+    words, prefixes = (rng.integers(0, 50, bounds[-1]).astype(np.int32) for _ in range(2))
+    x = toxicity.Texts(words, prefixes, bounds)
+    net = toxicity.fit(x, np.array([0, 1, 0, 1, 1, 0, 1, 0], dtype=np.float32), epochs=1)
+    net.training = True
+    whole = net.responses(x)
+    for size in (1, 3, 7, 64):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", size)
+        best, where = net.responses(x)
+        assert np.allclose(best, whole[0], atol=1e-5)
+        assert (where == whole[1]).all()

@@ -40,3 +40,15 @@ def test_short_sequences_differ_from_shingles_and_from_each_other():
     own = list(T.shingle_sets(pa.array(["a b c", "a b c d", "a b", "b a", "a b c"]), 4))
     assert np.array_equal(own[0], own[4])
     assert len({int(s[0]) for s in own[:4]}) == 4
+
+
+def test_long_texts_are_hashed_like_short_ones(monkeypatch):
+    texts = ["alpha Beta  gamma ", "", "x" * 700, "é ß " * 300, " " * 500 + "one", "two three " * 80, "end"] * 3
+    data, offsets = T.raw(pa.array(texts))
+    whole = T.split_words(data, offsets, T.SPACED)
+    prefixes = T.prefix_hashes(whole, T.SPACED, 3)
+    monkeypatch.setattr(T, "SLICE_BYTES", 100)
+    pieces = T.split_words(data, offsets, T.SPACED)
+    for name in ("starts", "ends", "hashes", "bounds"):
+        assert (getattr(whole, name) == getattr(pieces, name)).all()
+    assert (T.prefix_hashes(pieces, T.SPACED, 3) == prefixes).all()

@@ -123,6 +123,28 @@ def slices(array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
+    """The words of consecutive texts; long texts are hashed piece by piece, cut between words."""
+    n = len(data)
+    if n <= 2 * SLICE_BYTES:
+        return _split_words(data, offsets, alphabet)
+    parts, a = [], 0
+    while a < n:
+        b = min(n, a + SLICE_BYTES)
+        while b < n:  # on to the next byte that is in no word
+            ahead = alphabet.is_word[data[b : b + SLICE_BYTES]]
+            if not ahead.all():
+                b += int(ahead.argmin())
+                break
+            b = min(n, b + SLICE_BYTES)
+        inner = offsets[(offsets > a) & (offsets < b)]
+        part = _split_words(data[a:b], np.concatenate([[a], inner, [b]]) - a, alphabet)
+        parts.append((part.starts + a, part.ends + a, part.hashes))
+        a = b
+    starts, ends, hashes = (np.concatenate(column) for column in zip(*parts))
+    return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
+
+
+def _split_words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)
     inside[1:-1] = alphabet.is_word[data]
@@ -146,14 +168,20 @@ def split_words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Wo
 
 def prefix_hashes(words: Words, alphabet: Alphabet, length: int) -> np.ndarray:
     """A hash of the first `length` bytes of each word."""
-    n = len(words.data)
-    if not len(words.starts):
-        return np.zeros(0, np.uint64)
-    powers, inverses = _power_tables(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(alphabet.values[words.data] * powers[:n], out=sums[1:])
+    out = np.empty(len(words.starts), np.uint64)
     ends = np.minimum(words.ends, words.starts + length)
-    return mix((sums[ends] - sums[words.starts]) * inverses[words.starts] + np.uint64(length))
+    cuts = np.flatnonzero(np.diff(words.starts // SLICE_BYTES)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(out)]):
+        if a == b:
+            continue
+        first = words.starts[a]
+        data = words.data[first : ends[b - 1]]
+        powers, inverses = _power_tables(len(data) + 1)
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(alphabet.values[data] * powers[: len(data)], out=sums[1:])
+        x, y = words.starts[a:b] - first, ends[a:b] - first
+        out[a:b] = mix((sums[y] - sums[x]) * inverses[x] + np.uint64(length))
+    return out
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
