@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tillwright import fixed_values as fv
 from tillwright.functions.completion import Model
 from tillwright.operators import checks
-from tillwright.operators.facts import FACT_SALES, lookup, with_date
-from tillwright.plans import insights, metrics
+from tillwright.plans import changes, insights, metrics
 from tillwright.plans.mart import Mart
 from tillwright.session import scratch, stage, together
 from tillwright.sources import files
@@ -41,7 +40,7 @@ TEXTS = ("flagged_return_customers", "ai_business_insights", "dq_audit_report",
 def drop_outputs(tables: Tables) -> None:
     """Remove all tables and views of a warehouse, and what it knows of loaded files."""
     forget_loads(tables)
-    for name in (*TABLES, *STORED_REPORTS, *TEXTS, "column_tests"):
+    for name in (*TABLES, *STORED_REPORTS, *TEXTS, "column_tests", changes.MARKS, changes.PENDING):
         tables.drop(name)
     for name in (*VIEWS, "pipeline_audit_log"):
         tables.spark.catalog.dropTempView(name)
@@ -113,54 +112,55 @@ def reject_marks(tables: Tables) -> dict[str, datetime]:
 
 
 def refresh_gold(tables: Tables, mode: str, repair_late: bool = False) -> None:
-    """Dimensions and the bridge are rebuilt; facts are appended to in incremental mode.
+    """Dimensions are rebuilt; in incremental mode facts are appended to and the bridge follows for their orders.
 
     Facts follow the newest order and the newest return event: a line that lands after its order, or an
     order that lands after its return, does not change facts already written. ``repair_late`` adds every line
-    that the sales lack, whichever run it landed in, and rebuilds the returns.
+    that the sales lack, whichever run it landed in, and renews the returns that read otherwise by now; it looks
+    at orders that anything was landed for since the last build or repair.
     """
     with scratch(tables.spark):
         _write_gold(tables, mode, repair_late)
 
 
 def _write_gold(tables: Tables, mode: str, repair_late: bool) -> None:
-    fresh = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products", *DIMENSIONS))
+    fresh = mart(tables, without=(*changes.FACTS, *DIMENSIONS))
     dimensions = {name: getattr(fresh, name) for name in DIMENSIONS}
     together([lambda n=name, rows=rows: tables.replace(n, rows) for name, rows in dimensions.items()])
-    facts = ("fact_sales", "fact_returns", "bridge_return_products")
-    if mode == "full" or tables.read("fact_sales") is None:
-        whole = mart(tables, without=facts)
-        sales, returns = whole.fact_sales, whole.fact_returns
-        together([lambda: tables.replace("fact_sales", sales), lambda: tables.replace("fact_returns", returns)])
+    marks = None if mode == "full" or tables.read("fact_sales") is None else changes.read_marks(tables)
+    if marks is None:
+        _build_facts(tables)
+        return
+    whole, now = mart(tables, without=changes.FACTS), changes.seen_by_now(tables, marks.parts)
+    if repair_late:
+        of_sales, of_returns = (stage(ids, "changed_orders") for ids in changes.repaired(tables, marks))
+        pending = changes.note(tables, of_sales.unionByName(of_returns))
+        lacking = stage(changes.missing_sales(tables, whole, of_sales, marks), "missing_sales")
+        tables.append_parts("fact_sales", lacking, changes.KEY, marks.parts)
+        changes.renew_returns(tables, whole, of_returns, marks)
     else:
-        sales_mark = watermark(tables.read("fact_sales"))
-        returns_mark = watermark(tables.read("fact_returns"))
-        orders, returned = (tables.read(f"clean_{e}") for e in ("orders", "returns"))
-        if repair_late:
-            tables.append("fact_sales", stage(missing_sales(tables), "missing_sales"))
-        else:
-            tables.append("fact_sales", mart(tables, {"clean_orders": newer(orders, sales_mark)}, facts).fact_sales)
-        if repair_late:
-            tables.replace("fact_returns", mart(tables, without=facts).fact_returns)
-        else:
-            new_returns = mart(tables, {"clean_returns": newer(returned, returns_mark)}, facts).fact_returns
-            tables.append("fact_returns", new_returns)
-    tables.replace("bridge_return_products", mart(tables, without=("bridge_return_products",)).bridge_return_products)
-
-
-def missing_sales(tables: Tables) -> DataFrame:
-    """The sales that orders and lines give by now and the stored facts lack, each as often as it is missing.
-
-    Surrogate keys are left out of the comparison, as a dimension may have grown since, and added afterwards.
-    """
-    whole = mart(tables, without=("fact_sales", "fact_returns", "bridge_return_products"))
-    own = [c for c in FACT_SALES if not c.endswith("_sk")]
-    lacking = whole.fact_sales.select(*own).exceptAll(tables.read("fact_sales").select(*own))
-    keys = (("dim_customers", "customer"), ("dim_products", "product"), ("dim_vendors", "vendor"))
-    for dimension, name in keys:
-        lacking = lookup(lacking, getattr(whole, dimension), f"{name}_id", f"{name}_id", [f"{name}_sk"])
-    dated = with_date(lacking, "order_date_key", ["date_sk"]).withColumnRenamed("date_sk", "order_date_sk")
-    return dated.select(*FACT_SALES)
+        pending = changes.note(tables, changes.appended(tables))
+        for fact, entity in (("fact_sales", "orders"), ("fact_returns", "returns")):
+            new = newer(tables.read(f"clean_{entity}"), watermark(tables.read(fact)))
+            rows = getattr(mart(tables, {f"clean_{entity}": new}, changes.FACTS), fact)
+            tables.append_parts(fact, rows, changes.KEY, marks.parts)
+    changes.renew_bridge(tables, whole, pending, marks)
+    if repair_late:
+        changes.write_marks(tables, now)
+    changes.forget(tables)
+
+
+def _build_facts(tables: Tables) -> None:
+    """All facts and the bridge from the clean tables; until the marks are written, runs build them again."""
+    tables.drop(changes.MARKS)
+    now, whole = changes.seen_by_now(tables), mart(tables, without=changes.FACTS)
+    keyed = {"key": changes.KEY, "parts": now.parts}
+    facts = {"fact_sales": whole.fact_sales, "fact_returns": whole.fact_returns}
+    together([lambda n=name, rows=rows: tables.replace(n, rows, **keyed) for name, rows in facts.items()])
+    bridge = mart(tables, without=("bridge_return_products",)).bridge_return_products
+    tables.replace("bridge_return_products", bridge, **keyed)
+    changes.write_marks(tables, now)
+    changes.forget(tables)
 
 
 def refresh_reports(tables: Tables, model: Model | None = None) -> None:

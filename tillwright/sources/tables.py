@@ -1,11 +1,18 @@
-"""Parquet tables under one warehouse folder."""
+"""Parquet tables under one warehouse folder.
+
+A replaced table is written beside the old one and put in its place when it is whole. Tables that change by key lie in
+parts, folders by a hash of the key, of which only the changed ones are replaced. What a broken run left half done is
+put right by the next write, or by a read that finds the table missing.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.session import remove_folder
@@ -13,6 +20,21 @@ from tillwright.sources.files import timestamp
 
 
 BATCH = "batch_id"
+PART = "hash_part"
+
+# Rows of a part, and the least and largest number of parts of a table.
+PART_ROWS = 1_000_000
+LEAST_PARTS, MOST_PARTS = 8, 4096
+
+
+def number_of_parts(rows: int) -> int:
+    """A power of two, fixed when a table is written whole."""
+    wanted = max(LEAST_PARTS, min(MOST_PARTS, -(-rows // PART_ROWS)))
+    return 1 << (wanted - 1).bit_length()
+
+
+def part_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
 class Tables:
@@ -25,21 +47,107 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame | None:
-        """None for a table that was never written."""
+    def read(self, name: str, parts: Iterable[int] | None = None) -> DataFrame | None:
+        """None for a table that was never written; with ``parts`` only those folders are read."""
+        path = self.path(name)
         try:
-            return self.spark.read.parquet(self.path(name)).drop(BATCH)
+            rows = self.spark.read.parquet(path)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            if not self._restore(path):
                 return None
-            raise
+            rows = self.spark.read.parquet(path)
+        if parts is not None:
+            rows = rows.where(F.col(PART).isin(*parts))
+        return rows.drop(BATCH, PART)
 
     def stored(self, names: list[str]) -> dict[str, DataFrame]:
         found = {name: self.read(name) for name in names}
         return {name: df for name, df in found.items() if df is not None}
 
-    def replace(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(self.path(name))
+    def replace(self, name: str, rows: DataFrame, key: str | None = None, parts: int = 0) -> None:
+        """Put rows in the place of a table, with a ``key`` in parts; readers find the old rows until it is written."""
+        beside = f"{self.path(name)}.new-{uuid.uuid4().hex}"
+        self._written(rows, key, parts).parquet(beside)
+        self._swap(beside, self.path(name))
+
+    @staticmethod
+    def _written(rows: DataFrame, key: str | None, parts: int):
+        if key is None:
+            return rows.write
+        # rows of a part come together, in several tasks where they are many
+        return rows.withColumn(PART, part_of(F.col(key), parts)).hint("rebalance", F.col(PART)).write.partitionBy(PART)
+
+    def append_parts(self, name: str, rows: DataFrame, key: str, parts: int) -> None:
+        self._written(rows, key, parts).mode("append").parquet(self.path(name))
+
+    def replace_parts(self, name: str, rows: DataFrame, key: str, parts: int, changed: Iterable[int]) -> None:
+        """Put rows in the place of the changed parts; a part without rows goes, the files of others stay.
+
+        All rows must belong to the changed parts. Parts that a broken run had set aside are put back before.
+        """
+        root = self.path(name)
+        for folder in self._folders(f"{root}.old-parts"):
+            self._swap_back(f"{root}.old-parts/{folder}", f"{root}/{folder}")
+        beside = f"{root}.new-{uuid.uuid4().hex}"
+        self._written(rows, key, parts).parquet(beside)
+        written = set(self._folders(beside))
+        for part in sorted(changed):
+            folder = f"{PART}={part}"
+            aside = f"{root}.old-parts/{folder}"
+            self._make(f"{root}.old-parts")
+            self._rename(f"{root}/{folder}", aside)
+            if folder in written:
+                self._rename(f"{beside}/{folder}", f"{root}/{folder}")
+            remove_folder(self.spark, aside)
+        remove_folder(self.spark, beside)
+
+    def _path(self, path: str):
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        found, system = self._path(path)
+        return system.exists(found)
+
+    def _make(self, path: str) -> None:
+        found, system = self._path(path)
+        system.mkdirs(found)
+
+    def _folders(self, path: str) -> list[str]:
+        found, system = self._path(path)
+        if not system.exists(found):
+            return []
+        return [f.getPath().getName() for f in system.listStatus(found) if f.isDirectory()]
+
+    def _rename(self, path: str, to: str) -> None:
+        """A folder that is not there is left alone."""
+        (found, system), (target, _) = self._path(path), self._path(to)
+        if system.exists(found) and not system.rename(found, target):
+            raise OSError(f"{path} can't be renamed to {to}")
+
+    def _swap(self, beside: str, path: str) -> None:
+        old = f"{path}.old"
+        if self._exists(path):
+            remove_folder(self.spark, old)
+        self._rename(path, old)
+        self._rename(beside, path)
+        remove_folder(self.spark, old)
+
+    def _swap_back(self, aside: str, path: str) -> None:
+        """A folder set aside goes back unless its successor is there."""
+        if self._exists(path):
+            remove_folder(self.spark, aside)
+        else:
+            self._rename(aside, path)
+
+    def _restore(self, path: str) -> bool:
+        """Whether a table that is missing was found set aside, by a run that broke off between two renames."""
+        if self._exists(path) or not self._exists(f"{path}.old"):
+            return False
+        self._rename(f"{path}.old", path)
+        return True
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path(name))
@@ -49,7 +157,8 @@ class Tables:
 
     def drop(self, name: str) -> None:
         """Remove a table's folder; a table that was never written is no error."""
-        remove_folder(self.spark, self.path(name))
+        for path in (self.path(name), f"{self.path(name)}.old", f"{self.path(name)}.old-parts"):
+            remove_folder(self.spark, path)
 
     def append_newer(self, name: str, rows: DataFrame) -> None:
         """Append the rows loaded after the newest row of the target."""
