@@ -649,6 +649,7 @@ GROUP BY ALL"""
     )
     q["ingest_csv_transactions"] = landed("transactions", list(fv.BRONZE_KEYS["transactions"]))
     q["ingest_json_returns"] = f"SELECT {', '.join(fv.BRONZE_KEYS['returns'])}, _source_file FROM raw_returns"
+    q["ingest_json_array"] = q["ingest_json_returns"]
     q["ingest_report"] = " UNION ALL ".join(
         f"SELECT '{e}' AS entity, _source_file AS source_file, 'loaded' AS status, NULL AS message, COUNT(*) AS row_count "
         f"FROM raw_{e} GROUP BY _source_file"

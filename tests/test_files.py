@@ -155,11 +155,43 @@ def test_unreadable_file_leaves_the_others(spark, source, tmp_path):
     assert tables.read("landing_customers").count() == 5
 
 
+def test_many_files_with_headers_of_their_own(spark, tmp_path):
+    """2,000 files in one read; each row gets the names of its own file."""
+    root, tables = tmp_path / "src", Tables(spark, str(tmp_path / "wh"))
+    headers = ["customer_id,region", "cust_id,segment,region", "CustomerID", "region,customerid,extra,more"]
+    for i in range(2000):
+        folder = root / f"Region{i % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        names = headers[i % 4].split(",")
+        (folder / f"customers_{i}.csv").write_text(headers[i % 4] + "\n" + ",".join(f"{n}{i}" for n in names) + "\n")
+    report = ingest.ingest(spark, str(root), tables)
+    assert dict(report.where("entity = 'customers'").groupBy("status").agg({"row_count": "sum"}).collect()) == {"loaded": 2000}
+    for r in tables.read("landing_customers").collect():
+        i = int(r["_source_file"].split("_")[1].removesuffix(".csv"))
+        assert r["raw_data"] == {n: f"{n}{i}" for n in headers[i % 4].split(",")}
+    again = ingest.ingest(spark, str(root), tables, mode="incremental")
+    assert {r["status"] for r in again.collect()} == {"skipped"}
+
+
+def test_notes_of_many_loads_stay_few_files(spark, tmp_path, monkeypatch):
+    """However many loads there are, the notes are a bounded number of files, and none is lost."""
+    monkeypatch.setattr(ingest, "NOTE_FILES", 8)
+    tables = Tables(spark, str(tmp_path / "wh"))
+    counts = []
+    for i in range(60):
+        rows = spark.range(i, i + 1).selectExpr("'orders'", "concat('o', id)", "timestamp_ntz'2024-01-01 00:00:00'")
+        ingest._note(tables, ingest.LOADED_FILES, rows.toDF("entity", "source_file", "_load_timestamp"))
+        counts.append(tables.file_count(ingest.LOADED_FILES))
+    assert max(counts) <= 8 and counts.count(1) > 6
+    assert tables.read(ingest.LOADED_FILES).select("source_file").distinct().count() == 60
+
+
 def test_headers_by_scan(spark, source):
     root, _ = source
-    listed = [r["path"] for r in files.list_files(spark, str(root)).collect() if r["path"].endswith(".csv")]
-    scanned = {r["path"]: r["header"] for r in files._headers_by_scan(spark, listed).collect()}
-    assert scanned == files.headers(spark, listed)
+    listed = files.list_files(spark, str(root)).where("path like '%.csv'")
+    scanned = {r["path"]: r["header"] for r in files._headers_by_scan(listed).collect()}
+    assert len(scanned) == 4
+    assert scanned == {r["path"]: r["header"] for r in files.headers(listed).collect()}
 
 
 def test_line_breaks_in_quotes(spark, tmp_path):

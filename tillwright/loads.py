@@ -65,8 +65,8 @@ def _write_csv(rows: DataFrame, root: str, entity: str, names: Sequence[str]) ->
         of_file.write.option("header", "true").csv(f"{root}/{name}")
 
 
-def _write_json(landed: DataFrame, root: str, names: Sequence[str]) -> None:
-    """One array per part, one object per line, each with only the keys that have a value."""
+def _write_json(landed: DataFrame, root: str, names: Sequence[str], pretty: bool = False) -> None:
+    """One array per part, each object with only the keys that have a value, on one line or, if pretty, on many."""
 
     def as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lead = "["
@@ -80,7 +80,8 @@ def _write_json(landed: DataFrame, root: str, names: Sequence[str]) -> None:
 
     for name in names:
         present = F.map_filter("raw_data", lambda key, value: value.isNotNull())
-        objects = landed.where(F.col("_source_file") == name).select(F.to_json(present).alias("value"))
+        text = F.to_json(present, {"pretty": str(pretty).lower()})
+        objects = landed.where(F.col("_source_file") == name).select(text.alias("value"))
         objects.mapInPandas(as_array, "value string").write.text(f"{root}/{name}")
 
 
@@ -110,6 +111,15 @@ def _ingested(entity: str) -> Query:
     return query
 
 
+def _json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns as arrays over many lines, landed and extracted."""
+    root, tables = new_path(spark, "files"), Tables(spark, new_path(spark, "warehouse"))
+    _write_json(driver_tables.landing(spark, sf_dir, "returns"), root, JSON_FILES["returns"], pretty=True)
+    ingest.ingest(spark, root, tables, routes=PART_ROUTES)
+    bronze = extract(tables.read(ingest.landing_name("returns")), "returns").drop("_load_timestamp")
+    return _whole_file(bronze, "_source_file")
+
+
 def _ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, tables = new_path(spark, "files"), Tables(spark, new_path(spark, "warehouse"))
     _write_files(spark, sf_dir, root, ["customers", "orders", "returns", "vendors"])
@@ -296,6 +306,7 @@ LOADS: dict[str, Query] = {
     "ingest_csv_customers": _ingested("customers"),
     "ingest_csv_transactions": _ingested("transactions"),
     "ingest_json_returns": _ingested("returns"),
+    "ingest_json_array": _json_array,
     "ingest_report": _ingest_report,
     "ingest_new_files_only": _new_files_only,
     "incremental_append": _incremental_append,

@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator, Mapping
 from datetime import datetime, timezone
-from functools import reduce
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
@@ -14,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
-from tillwright.functions.parsing import one_of, quoted
+from tillwright.functions.parsing import one_of
+from tillwright.session import stage
+from tillwright.sources import json_objects
 
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
@@ -51,13 +52,21 @@ def routed(files: DataFrame, routes: Mapping[str, str] = ROUTES) -> DataFrame:
     return files.select("path", "source_file", F.explode(F.array_compact(F.array(*entities))).alias("entity"))
 
 
+def _open(reader, kind: str, files: DataFrame) -> DataFrame:
+    """A reader's relation of the files of a table; their paths go from the table to the reader inside the JVM."""
+    spark = files.sparkSession
+    paths = getattr(files.select("path")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING()).collectAsList()
+    return DataFrame(getattr(reader._jreader, kind)(spark._jvm.PythonUtils.toSeq(paths)), spark)
+
+
 # CSV
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
-    """First line of each file, None for a file that cannot be read.
+def headers(files: DataFrame) -> DataFrame:
+    """(path, header): the first line of each file of a table, NULL for a file that cannot be read.
 
-    Only the start of a file is read, by one small task per hundred files.
+    Only the start of a file is read, by small tasks. Where no file can be opened this way, Spark reads the first
+    block of each.
     """
 
     def first_line(path: str) -> str:
@@ -85,19 +94,19 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[str, str | None]:
         for batch in batches:
             yield pd.DataFrame({"path": batch["path"], "header": [readable_line(p) for p in batch["path"]]})
 
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(1 + len(paths) // 100)
-    found = {r["path"]: r["header"] for r in listed.mapInPandas(first_lines, "path string, header string").collect()}
-    if not any(header is not None for header in found.values()):
+    spread = files.select("path").repartition("path")
+    found = stage(spread.mapInPandas(first_lines, "path string, header string"), "headers")
+    if found.where("header is not null").isEmpty():
         try:
-            found |= {r["path"]: r["header"] for r in _headers_by_scan(spark, paths).collect()}
+            return stage(_headers_by_scan(files), "headers")
         except SPARK_ERRORS:
             pass
     return found
 
 
-def _headers_by_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _headers_by_scan(files: DataFrame) -> DataFrame:
     """For file systems that only Spark can open: the first line of each file's first block."""
-    lines = spark.read.text(paths).selectExpr(
+    lines = _open(files.sparkSession.read, "text", files).selectExpr(
         "value", PATH_SQL, "_metadata.file_block_start", "monotonically_increasing_id() as n"
     )
     starts = lines.where("file_block_start = 0").groupBy("path")
@@ -108,15 +117,29 @@ def column_names(header: str) -> list[str]:
     return [name.strip() for name in next(csv.reader([header]), [])]
 
 
-def read_csv(spark: SparkSession, paths: list[str], names: list[str], multiline: bool = False) -> DataFrame:
-    """Files that share one header, as objects keyed by it; every value is text and NULL keys are kept.
+def with_names(headers: DataFrame) -> DataFrame:
+    """(path, names) of (path, header); each different header is taken apart once."""
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"header": batch["header"], "names": [column_names(h) for h in batch["header"]]})
+
+    different = headers.where("header is not null").select("header").distinct()
+    names = different.mapInPandas(named, "header string, names array<string>")
+    return headers.join(names, "header", "left").select("path", "names")
+
 
-    Columns are read by position, so names may differ in case only. Short rows are filled with NULLs.
-    ``multiline`` allows line breaks inside quotes; files are then not split over tasks.
+def read_csv(files: DataFrame, multiline: bool = False) -> DataFrame:
+    """The rows of all files of a table of (path, names), as objects keyed by the names of their own file.
+
+    Every value is text and NULL keys are kept. Columns are read by position, so names may differ in case only.
+    Short rows are filled with NULLs. ``multiline`` allows line breaks inside quotes; files are then not split over
+    tasks.
     """
-    positions = [f"c{i}" for i in range(len(names))]
-    rows = (
-        spark.read.schema(", ".join(f"{p} string" for p in positions))
+    width = files.agg(F.max(F.size("names"))).first()[0] or 1
+    positions = [f"c{i}" for i in range(width)]
+    reader = (
+        files.sparkSession.read.schema(", ".join(f"{p} string" for p in positions))
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
@@ -124,47 +147,23 @@ def read_csv(spark: SparkSession, paths: list[str], names: list[str], multiline:
         .option("ignoreTrailingWhiteSpace", "true")
         .option("mode", "PERMISSIVE")
         .option("multiLine", str(multiline).lower())
-        .csv(paths)
     )
     nulls = one_of(fv.CSV_NULL_TOKENS)
-    entries = ", ".join(f"{quoted(n)}, if({p} in {nulls}, null, {p})" for n, p in zip(names, positions))
-    return rows.selectExpr(f"map({entries}) as raw_data", PATH_SQL)
+    cells = ", ".join(f"if({p} in {nulls}, null, {p})" for p in positions)
+    rows = _open(reader, "csv", files).selectExpr(f"array({cells}) as cells", PATH_SQL)
+    # the header of a row is found by its path
+    named = rows.join(files.select("path", "names"), "path")
+    return named.selectExpr("map_from_arrays(names, slice(cells, 1, size(names))) as raw_data", "path")
 
 
 # JSON
 
-_OBJECT = "map<string,string>"
-
-
-def _objects_by_line(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The objects of each line, read as a list whether or not it opens, goes on or ends an array of the file."""
-    lines = spark.read.text(paths).selectExpr(
-        PATH_SQL, r"regexp_replace(value, r'^\s*[\[,]?\s*|\s*[\],]*\s*$', '') as line"
-    )
-    objects = F.from_json(F.concat(F.lit("["), "line", F.lit("]")), f"array<{_OBJECT}>")
-    return lines.where("line <> ''").select("path", objects.alias("objects"))
-
 
-def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Objects of JSON files, one row each, values as text.
+def read_json(files: DataFrame) -> DataFrame:
+    """(path, raw_data): the objects of the JSON files of a table, one row each, values as text.
 
-    A file whose every line holds whole objects (with array brackets and commas around them or not) is split
-    over tasks; only files laid out differently are parsed whole, each by one task. Reading a file that is
-    neither fails.
+    Objects may be laid out in any way: an object or several a line, an array over many lines, one after the other. A
+    NULL stands for a piece of a file that is no object.
     """
-    by_line = F.bool_and(F.coalesce(F.forall("objects", lambda o: o.isNotNull()), F.lit(False)))
-    layout = _objects_by_line(spark, paths).groupBy("path").agg(by_line.alias("by_line")).collect()
-    lined = [r["path"] for r in layout if r["by_line"]]
-    whole = [r["path"] for r in layout if not r["by_line"]]
-    parts = []
-    if lined:
-        parts.append(_objects_by_line(spark, lined).select("path", F.explode("objects").alias("raw_data")))
-    if whole:
-        texts = spark.read.text(whole, wholetext=True).selectExpr(PATH_SQL, "value")
-        one = F.from_json("value", _OBJECT)
-        objects = F.coalesce(F.from_json("value", f"array<{_OBJECT}>"), F.when(one.isNotNull(), F.array(one)))
-        unreadable = F.raise_error(F.concat(F.lit("no JSON objects in "), "path")).cast(f"array<{_OBJECT}>")
-        found = texts.select("path", F.coalesce(objects, unreadable).alias("objects"))
-        parts.append(found.select("path", F.explode("objects").alias("raw_data")))
-    empty = spark.createDataFrame([], f"path string, raw_data {_OBJECT}")
-    return reduce(DataFrame.unionByName, parts, empty)
+    lines = _open(files.sparkSession.read, "text", files)
+    return json_objects.objects(lines.selectExpr(PATH_SQL, "_metadata.file_block_start as start", "value"))

@@ -2,24 +2,27 @@
 
 Which files a warehouse holds is told from a small table of loaded files. A load notes its time before it lands
 anything, and its files afterwards: a load that broke off in between is found by its time, and only its rows are
-looked up in the landing tables.
+looked up in the landing tables. Files are rows of tables throughout, from the listing to the report; after many loads
+the notes are written together again.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
+from tillwright.session import stage, together
 from tillwright.sources import files
 from tillwright.sources.landing import LANDING_SCHEMA
 from tillwright.sources.tables import Tables
 
 REPORT_SCHEMA = "entity string, source_file string, status string, message string"
+REPORT_COLUMNS = ("entity", "source_file", "status", "message")
 MODES = ("full", "incremental")
 
 LOADED_FILES = "loaded_files"
@@ -56,92 +59,89 @@ def ingest(
             tables.replace(landing_name(entity), spark.createDataFrame([], LANDING_SCHEMA))
     new = missing(tables, listed)
     moment = load_time or files.now()
-    if any(new.values()):
+    found = {r["entity"] for r in new.select("entity").distinct().collect()}
+    if found:
         start(tables, moment)
-    entries: list[tuple] = []
-    for entity in fv.ENTITIES:
-        if not new[entity]:
-            message = "no files found" if mode == "full" else "no new files"
-            entries.append((entity, None, "warning" if mode == "full" else "skipped", message))
-            continue
-        entries += land(spark, entity, new[entity], source_root, tables, moment, multiline)
-    if any(new.values()):
+    status, message = ("warning", "no files found") if mode == "full" else ("skipped", "no new files")
+    parts = [spark.createDataFrame([(e, None, status, message) for e in fv.ENTITIES if e not in found], REPORT_SCHEMA)]
+    parts += land_all(new, sorted(found), source_root, tables, moment, multiline)
+    entries = reduce(DataFrame.unionByName, [part.select(*REPORT_COLUMNS) for part in parts])
+    if found:
         record(tables, moment, entries)
-    return _with_counts(spark.createDataFrame(entries, REPORT_SCHEMA), tables, moment)
+    return _with_counts(entries, tables, moment)
+
+
+def land_all(
+    new: DataFrame, entities: list[str], source_root: str, tables: Tables, moment: datetime, multiline: bool = False
+) -> list[DataFrame]:
+    """Load the files of several entities, a table of (path, source_file, entity), side by side."""
+    of = {entity: new.where(F.col("entity") == entity) for entity in entities}
+    return together([lambda e=e, own=own: land(e, own, source_root, tables, moment, multiline) for e, own in of.items()])
 
 
 def land(
-    spark: SparkSession,
-    entity: str,
-    paths: Mapping[str, str],
-    source_root: str,
-    tables: Tables,
-    moment: datetime,
-    multiline: bool = False,
-    target: str | None = None,
-) -> list[tuple]:
-    """Load one entity's files as one write; if that fails, file by file so that only the bad ones are left out.
+    entity: str, new: DataFrame, source_root: str, tables: Tables, moment: datetime, multiline: bool = False
+) -> DataFrame:
+    """Load one entity's files, a table of (path, source_file), and report (path, entity, source_file, status, message).
 
-    With a ``target`` folder the rows replace what it holds, otherwise they are appended to the landing table.
+    Files are read together in one write. If that fails, each half of them is tried, and so on, so that only the
+    bad ones are left out.
     """
-    readers, entries = _readers(spark, entity, paths, multiline)
-
-    def write(wanted: Mapping[str, list[str] | None], append: bool) -> None:
-        parts = []
-        for names, chosen in wanted.items():
-            read = files.read_json(spark, chosen) if names is None else files.read_csv(spark, chosen, list(names), multiline)
-            parts.append(read)
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        landed = rows.select(
+    kind = fv.FILE_ROUTES[entity][1]
+    judged = stage(_judged(new, kind), "new_files")
+    good = judged.where("status = 'loaded'")
+
+    def write(chosen: DataFrame) -> DataFrame | None:
+        """The files that turn out to hold something else."""
+        read = stage(files.read_json(chosen), "objects") if kind == "json" else files.read_csv(chosen, multiline)
+        bad = None
+        if kind == "json":
+            bad = stage(read.where("raw_data is null").select("path").distinct(), "bad_files")
+            read = read.join(bad, "path", "left_anti")
+        landed = read.select(
             "raw_data",
             files.source_file(F.col("path"), source_root).alias("_source_file"),
             files.timestamp(moment).alias("_load_timestamp"),
         )
-        mode = "append" if append else "overwrite"
-        landed.write.mode(mode).parquet(target or tables.path(landing_name(entity)))
-
-    if not readers:
-        return entries
-    try:
-        write(readers, append=target is None)
-        return entries + [(entity, paths[p], "loaded", None) for chosen in readers.values() for p in chosen]
-    except files.SPARK_ERRORS:
-        pass
-    append = target is None
-    for names, chosen in readers.items():
-        for path in chosen:
-            try:
-                write({names: [path]}, append)
-                append = True
-                entries.append((entity, paths[path], "loaded", None))
-            except files.SPARK_ERRORS as error:
-                entries.append((entity, paths[path], "error", str(error).splitlines()[0]))
-    return entries
-
-
-def _readers(
-    spark: SparkSession, entity: str, paths: Mapping[str, str], multiline: bool
-) -> tuple[dict[tuple[str, ...] | None, list[str]], list[tuple]]:
-    """Paths by CSV header (None: JSON), one reader each, and report entries for files left out."""
-    kind = fv.FILE_ROUTES[entity][1]
+        tables.append(landing_name(entity), landed)
+        return bad
+
+    def tried(chosen: DataFrame, bit: int = 0) -> list[DataFrame]:
+        """The outcome of files that are no longer as judged."""
+        if chosen.isEmpty():
+            return []
+        try:
+            bad = write(chosen)
+            return [] if bad is None else [bad.withColumn("why", F.lit("holds something else than JSON objects"))]
+        except files.SPARK_ERRORS as error:
+            if bit == 64 or chosen.count() == 1:
+                return [chosen.select("path", F.lit(str(error).splitlines()[0]).alias("why"))]
+        half = F.shiftright(F.xxhash64("path"), bit).bitwiseAND(1)
+        return tried(chosen.where(half == 0), bit + 1) + tried(chosen.where(half == 1), bit + 1)
+
+    failed = tried(good)
+    if failed:
+        judged = judged.join(reduce(DataFrame.unionByName, failed), "path", "left").withColumns(
+            {
+                "status": F.when(F.col("why").isNotNull(), "error").otherwise(F.col("status")),
+                "message": F.coalesce("why", "message"),
+            }
+        )
+    return stage(judged.select("path", F.lit(entity).alias("entity"), "source_file", "status", "message"), "landed_files")
+
+
+def _judged(new: DataFrame, kind: str) -> DataFrame:
+    """The files with what a CSV header tells of them: names, and the status that they will have if they can be read."""
     if kind == "json":
-        return {None: sorted(paths)}, []
-    groups: dict[tuple[str, ...] | None, list[str]] = defaultdict(list)
-    entries = []
-    for path, header in files.headers(spark, sorted(paths)).items():
-        if header is None:
-            entries.append((entity, paths[path], "error", "cannot be read"))
-            continue
-        names = tuple(files.column_names(header))
-        if not any(names):
-            entries.append((entity, paths[path], "warning", "no columns"))
-        elif len(set(names)) < len(names):
-            entries.append((entity, paths[path], "error", "a column name occurs twice"))
-        else:
-            groups[names].append(path)
-    return dict(groups), entries
+        none = F.lit(None).cast("string")
+        return new.select("path", "source_file", F.lit("loaded").alias("status"), none.alias("message"))
+    known = new.join(files.with_names(files.headers(new)), "path", "left")
+    unread = F.col("names").isNull()
+    empty = ~F.exists("names", lambda name: name != "")
+    twice = F.size(F.array_distinct("names")) < F.size("names")
+    status = F.when(unread, "error").when(empty, "warning").when(twice, "error").otherwise("loaded")
+    message = F.when(unread, "cannot be read").when(empty, "no columns").when(twice, "a column name occurs twice")
+    return known.select("path", "source_file", "names", status.alias("status"), message.alias("message"))
 
 
 def forget_loads(tables: Tables) -> None:
@@ -151,22 +151,32 @@ def forget_loads(tables: Tables) -> None:
 
 def start(tables: Tables, moment: datetime) -> None:
     """Note that a load begins, before it lands anything."""
-    tables.append(LOADS_STARTED, tables.spark.createDataFrame([(moment,)], STARTED_SCHEMA).coalesce(1))
+    _note(tables, LOADS_STARTED, tables.spark.createDataFrame([(moment,)], STARTED_SCHEMA))
 
 
-def record(tables: Tables, moment: datetime, entries: list[tuple]) -> None:
+def record(tables: Tables, moment: datetime, entries: DataFrame) -> None:
     """Note the files of a load that has ended; the row without a file ends a load that landed none."""
-    rows = [(entity, file, moment) for entity, file, status, _ in entries if status == "loaded"]
-    found = tables.spark.createDataFrame([*rows, (None, None, moment)], LOADED_SCHEMA)
-    tables.append(LOADED_FILES, found.coalesce(1))
+    rows = entries.where("status = 'loaded'").select("entity", "source_file", files.timestamp(moment).alias("_load_timestamp"))
+    _note(tables, LOADED_FILES, rows.unionByName(_ends(tables, [moment])))
+
+
+def _ends(tables: Tables, moments: list[datetime]) -> DataFrame:
+    return tables.spark.createDataFrame([(None, None, moment) for moment in moments], LOADED_SCHEMA)
+
+
+# A table of notes with more files is written together again.
+NOTE_FILES = 64
+
+
+def _note(tables: Tables, name: str, rows: DataFrame) -> None:
+    tables.append(name, rows.coalesce(1))
+    if tables.file_count(name) > NOTE_FILES:
+        tables.replace(name, tables.read(name).hint("rebalance"))
 
 
-def missing(tables: Tables, listed: DataFrame) -> dict[str, dict[str, str]]:
-    """Of the listed (path, source_file, entity) those that were not loaded, as entity -> path -> file."""
-    new: dict[str, dict[str, str]] = defaultdict(dict)
-    for row in listed.join(_loaded(tables), ["entity", "source_file"], "left_anti").collect():
-        new[row["entity"]][row["path"]] = row["source_file"]
-    return new
+def missing(tables: Tables, listed: DataFrame) -> DataFrame:
+    """Of the listed (path, source_file, entity) those that were not loaded."""
+    return stage(listed.join(_loaded(tables), ["entity", "source_file"], "left_anti"), "missing_files")
 
 
 def _loaded(tables: Tables) -> DataFrame:
@@ -178,8 +188,7 @@ def _loaded(tables: Tables) -> DataFrame:
         ended = tables.read(LOADED_FILES).select("_load_timestamp")
         broken = [r[0] for r in started.join(ended, "_load_timestamp", "left_anti").distinct().collect()]
         if broken:
-            ends = tables.spark.createDataFrame([(None, None, m) for m in broken], LOADED_SCHEMA)
-            tables.append(LOADED_FILES, _landed(tables, broken).unionByName(ends))
+            _note(tables, LOADED_FILES, _landed(tables, broken).unionByName(_ends(tables, broken)))
     return tables.read(LOADED_FILES).select("entity", "source_file")
 
 

@@ -121,6 +121,11 @@ class Tables:
             return []
         return [f.getPath().getName() for f in system.listStatus(found) if f.isDirectory()]
 
+    def file_count(self, name: str) -> int:
+        """Data files directly in a table's folder."""
+        found, system = self._path(self.path(name))
+        return len([f for f in system.listStatus(found) if f.getPath().getName().startswith("part-")])
+
     def _rename(self, path: str, to: str) -> None:
         """A folder that is not there is left alone."""
         (found, system), (target, _) = self._path(path), self._path(to)
