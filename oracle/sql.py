@@ -649,6 +649,10 @@ GROUP BY ALL"""
     )
     q["ingest_csv_transactions"] = landed("transactions", list(fv.BRONZE_KEYS["transactions"]))
     q["ingest_json_returns"] = f"SELECT {', '.join(fv.BRONZE_KEYS['returns'])}, _source_file FROM raw_returns"
+    q["document_refresh"] = (
+        "SELECT *, IF(doc_type = 'vendor' OR coalesce(region = 'West' AND upper(doc_text) <> doc_text, FALSE), "
+        "'2024-01-02 00:00:00', '2024-01-01 00:00:00') AS updated_at FROM docs"
+    )
     q["ingest_json_array"] = q["ingest_json_returns"]
     q["ingest_report"] = " UNION ALL ".join(
         f"SELECT '{e}' AS entity, _source_file AS source_file, 'loaded' AS status, NULL AS message, COUNT(*) AS row_count "

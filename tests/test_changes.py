@@ -179,17 +179,21 @@ def test_parts_are_replaced_one_by_one(spark):
     tables = Tables(spark, new_path(spark, "warehouse"))
     tables.replace("t", spark.range(100), "id", 4)
     of = {r["id"]: r["p"] for r in spark.range(100).select("id", part_of(F.col("id"), 4).alias("p")).collect()}
-    assert set(of.values()) == {0, 1, 2, 3}
-    fresh = spark.range(100).where(part_of(F.col("id"), 4) == 1).where("id < 50")
-    tables.replace_parts("t", fresh, "id", 4, [1, 2])  # part 2 has no rows now
-    expected = [i for i in range(100) if of[i] in (0, 3) or of[i] == 1 and i < 50]
+    names = [f"{i}_of_4" for i in range(4)]
+    assert set(of.values()) == set(names) and tables.parts("t") == 4
+    fresh = spark.range(100).where(part_of(F.col("id"), 4) == names[1]).where("id < 50")
+    tables.replace_parts("t", fresh, "id", 4, names[1:3])  # part 2 has no rows now
+    expected = [i for i in range(100) if of[i] in (names[0], names[3]) or of[i] == names[1] and i < 50]
     assert number(tables, "t") == expected
-    assert number(tables, "t", [1]) == [i for i in expected if of[i] == 1]
+    assert number(tables, "t", names[1:2]) == [i for i in expected if of[i] == names[1]]
     # a run that broke off while a part was set aside: the next one puts it back
-    aside = Path(tables.path("t") + f".old-parts/{PART}=0")
+    aside = Path(tables.path("t") + f".old-parts/{PART}={names[0]}")
     aside.parent.mkdir(exist_ok=True)
-    Path(tables.path("t") + f"/{PART}=0").rename(aside)
-    tables.replace_parts("t", fresh, "id", 4, [1])
+    Path(tables.path("t") + f"/{PART}={names[0]}").rename(aside)
+    tables.replace_parts("t", fresh, "id", 4, names[1:2])
     assert number(tables, "t") == expected
+    tables.replace_parts("t", spark.range(0), "id", 4, names)
+    assert number(tables, "t") == [] and tables.read("t").columns == ["id"] and tables.parts("t") == 4
+    tables.replace_parts("t", spark.range(100).where(part_of(F.col("id"), 4) != names[2]).where(F.col("id").isin(*expected)), "id", 4, names)
     tables.append_parts("t", spark.range(100, 103), "id", 4)
     assert number(tables, "t") == [*expected, 100, 101, 102]

@@ -38,6 +38,20 @@ def test_positions(spark, p, accuracy):
         assert found[name].interpolated == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+def test_positions_over_many_ranges(spark):
+    """No range holds a whole group, and neighbours of a position may lie in different ranges."""
+    values = {"a": [float(i // 2) for i in range(4001)], "b": [float(-i) for i in range(997)], "c": [1.0, 9.0]}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for p in (0.1, 0.5, 0.77):
+            found = positions(grouped(spark, values), p, 5)
+            assert {g: f.interpolated for g, f in found.items()} == {g: pytest.approx(np.quantile(v, p)) for g, v in values.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_positions_without_values(spark):
     empty = spark.createDataFrame([("a", None)], "grp string, v double")
     assert positions(empty, 0.5) == {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from tillwright import fixed_values as fv
 from tillwright.functions.numbers import exact_sum, rounded
 from tillwright.loads import LOADS
-from tillwright.operators import checks, rules
+from tillwright.operators import checks, rules, search_index
 from tillwright.operators.search import search
-from tillwright.plans import insights, metrics, semantic
+from tillwright.plans import insights, metrics, pipeline, semantic
 from tillwright.plans.mart import Mart
-from tillwright.session import stage
+from tillwright.session import new_path, stage
 from tillwright.sources import driver_tables
+from tillwright.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUESTIONS = {q: text for q, text, _, _ in fv.QUESTIONS}
@@ -180,12 +182,32 @@ def _kpi_top(m: Mart) -> DataFrame:
     return top.select("product_id", "product_name", "region", "total_return_cost")
 
 
-def _search(m: Mart) -> DataFrame:
-    return search(insights.rag_documents(m), QUESTIONS)
+def _indexed(filters: dict[str, str] | None) -> Callable[[SparkSession, str], DataFrame]:
+    """A search in stored postings of the documents, which were indexed with a few others first and then renewed."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = Tables(spark, new_path(spark, "warehouse"))
+        documents = stage(insights.rag_documents(mart(spark, sf_dir)), "rag_documents")
+        other = F.when(F.col("doc_type") == "vendor", F.lit("Slow moving pen")).otherwise(F.col("doc_text"))
+        before = documents.where("not doc_id like '%1'").withColumn("doc_text", other)
+        search_index.build(tables, before, pipeline.DOCUMENT_FILTERS)
+        search_index.refresh(tables, documents, pipeline.DOCUMENT_FILTERS)
+        return search_index.search(tables, QUESTIONS, filters)
 
-def _search_filtered(m: Mart) -> DataFrame:
-    return search(insights.rag_documents(m), QUESTIONS, filters={"doc_type": "vendor"})
+    return query
+
+
+def _document_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document table after two refreshes: vendors are new in the second, texts of one region read otherwise."""
+    tables = Tables(spark, new_path(spark, "warehouse"))
+    documents = stage(insights.rag_documents(mart(spark, sf_dir)), "rag_documents")
+    text = F.when(F.col("region") == "West", F.upper("doc_text")).otherwise(F.col("doc_text"))
+    first = documents.where("doc_type <> 'vendor'").withColumn("doc_text", text)
+    gone = first.where("doc_type = 'product'").withColumn("doc_id", F.concat(F.lit("gone_"), "doc_id"))
+    pipeline.put_documents(tables, first.unionByName(gone), datetime(2024, 1, 1))
+    for day in (2, 3):
+        pipeline.put_documents(tables, documents, datetime(2024, 1, day))
+    return tables.read("rag_documents")
 
 
 def _search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,8 +275,9 @@ QUERIES: dict[str, Query] = {
     "rag_documents": _on_mart(insights.rag_documents),
     "rag_context": _on_mart(lambda m: insights.rag_context(insights.rag_documents(m))),
     "rag_query_history": _on_mart(lambda m: insights.rag_query_history(m).drop("generated_at")),
-    "search_topk": _on_mart(_search),
-    "search_topk_filtered": _on_mart(_search_filtered),
+    "search_topk": _indexed(None),
+    "search_topk_filtered": _indexed({"doc_type": "vendor"}),
+    "document_refresh": _document_refresh,
     "search_documents": _search_documents,
     "q_revenue_by_region": _on_mart(semantic.revenue_by_region),
     "q_vendor_return_rate": _on_mart(semantic.vendors_by_return_rate),

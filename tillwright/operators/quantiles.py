@@ -2,16 +2,20 @@
 
 A rank over a whole group would sort the group in one task. Here a quantile sketch proposes a narrow value
 bracket, the values inside it are counted exactly, and the counts prove whether the wanted position lies in
-the bracket; if not, the bracket is widened. Only the bracket's distinct values reach a single task.
+the bracket; if not, the bracket is widened. The bracket's distinct values are dealt out by ranges; sums per range
+tell which one holds the position, and only there counts are added up value by value.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwright.session import stage
+
 
 @dataclass(frozen=True)
 class Position:
@@ -61,24 +65,34 @@ def _count_in_brackets(
         "grp", F.when(F.col("v") >= _by_group(low), F.col("v")).alias("v")
     )
     histogram = below_and_inside.groupBy("grp", "v").agg(F.count("*").alias("n"))
-    running = F.sum("n").over(Window.partitionBy("grp").orderBy(F.col("v").asc_nulls_first()))
-    first = _by_group({g: int((n - 1) * p) for g, n in counts.items()})
-    last = _by_group({g: min(int((n - 1) * p) + 1, n - 1) for g, n in counts.items()})
-    points = (
-        histogram.withColumn("upto", running)
-        .groupBy("grp")
-        .agg(
-            F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
-            F.max("upto").alias("upto"),
-            F.min(F.when(F.col("upto") > first, F.col("v"))).alias("lower"),
-            F.min(F.when(F.col("upto") > last, F.col("v"))).alias("upper"),
-        )
-        .collect()
-    )
-    proven = {}
-    for point in points:
-        n = counts[point["grp"]]
-        at = (n - 1) * p
-        if point["below"] <= int(at) and point["upto"] > min(int(at) + 1, n - 1):
-            proven[point["grp"]] = Position(n, point["lower"], point["upper"], at - int(at))
-    return proven
+    ranged = histogram.repartitionByRange("grp", F.col("v").asc_nulls_first())
+    ranged = stage(ranged.withColumn("part", F.spark_partition_id()), "value_counts")
+    # a row per range and group; NULL stands for what is below the bracket
+    below = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("below")
+    parts = ranged.groupBy("grp", "part").agg(F.sum("n").alias("n"), below).orderBy("grp", "part").collect()
+    wanted: list[tuple[str, int, int, int]] = []  # group, range, rows before the range, position in the group
+    proven = {g: ((n - 1) * p, min(int((n - 1) * p) + 1, n - 1)) for g, n in counts.items()}
+    for group, (at, last) in list(proven.items()):
+        own = [part for part in parts if part["grp"] == group]
+        if sum(part["below"] for part in own) > int(at) or sum(part["n"] for part in own) <= last:
+            del proven[group]
+            continue
+        before = 0
+        for part in own:
+            wanted += [(group, part["part"], before, i) for i in (int(at), last) if before <= i < before + part["n"]]
+            before += part["n"]
+    if not wanted:
+        return {}
+    running = F.sum("n").over(Window.partitionBy("grp", "part").orderBy(F.col("v").asc_nulls_first()))
+    chosen = [(F.col("grp") == group) & (F.col("part") == part) for group, part, _, _ in wanted]
+    counted = ranged.where(reduce(Column.__or__, chosen)).withColumn("upto", running)
+    found = [
+        F.min(F.when(where & (F.col("upto") + before > i), F.col("v"))).alias(f"v{k}")
+        for k, (where, (_, _, before, i)) in enumerate(zip(chosen, wanted))
+    ]
+    values = counted.agg(*found).first()
+    at_position = {(group, i): values[k] for k, (group, _, _, i) in enumerate(wanted)}
+    return {
+        group: Position(counts[group], at_position[group, int(at)], at_position[group, last], at - int(at))
+        for group, (at, last) in proven.items()
+    }

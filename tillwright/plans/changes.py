@@ -98,9 +98,9 @@ def of_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
     return rows.join(orders, KEY, "left_semi")
 
 
-def _changed_parts(orders: DataFrame, parts: int) -> list[int]:
-    """At most as many numbers as there are parts."""
-    return [r[0] for r in orders.select(part_of(F.col(KEY), parts)).distinct().collect()]
+def changed_parts(keys: DataFrame, key: str, parts: int) -> list[str]:
+    """At most as many names as there are parts."""
+    return [r[0] for r in keys.select(part_of(F.col(key), parts)).distinct().collect()]
 
 
 def _dimensions(whole: Mart) -> dict[str, DataFrame]:
@@ -116,7 +116,7 @@ def missing_sales(tables: Tables, whole: Mart, orders: DataFrame, marks: Marks)
     chosen = {f"clean_{e}": of_orders(whole.clean(e), orders) for e in ("orders", "transactions")}
     dimensions = _dimensions(whole)
     own = [c for c in FACT_SALES if not c.endswith("_sk")]
-    stored = of_orders(tables.read("fact_sales", _changed_parts(orders, marks.parts)), orders)
+    stored = of_orders(tables.read("fact_sales", changed_parts(orders, KEY, marks.parts)), orders)
     lacking = Mart(stored=chosen | dimensions).fact_sales.select(*own).exceptAll(stored.select(*own))
     for dimension, name in DIMENSION_KEYS:
         lacking = lookup(lacking, dimensions[dimension], f"{name}_id", f"{name}_id", [f"{name}_sk"])
@@ -126,7 +126,7 @@ def missing_sales(tables: Tables, whole: Mart, orders: DataFrame, marks: Marks)
 
 def _renew(tables: Tables, name: str, orders: DataFrame, fresh: DataFrame, marks: Marks) -> None:
     """Rows of some orders anew, the other rows of their parts as they are."""
-    changed = _changed_parts(orders, marks.parts)
+    changed = changed_parts(orders, KEY, marks.parts)
     if changed:
         kept = tables.read(name, changed).join(orders, KEY, "left_anti")
         tables.replace_parts(name, kept.select(*fresh.columns).unionByName(fresh), KEY, marks.parts, changed)
@@ -139,6 +139,6 @@ def renew_returns(tables: Tables, whole: Mart, orders: DataFrame, marks: Marks)
 
 
 def renew_bridge(tables: Tables, whole: Mart, orders: DataFrame, marks: Marks) -> None:
-    changed = _changed_parts(orders, marks.parts)
+    changed = changed_parts(orders, KEY, marks.parts)
     facts = {name: of_orders(tables.read(name, changed), orders) for name in ("fact_sales", "fact_returns")}
     _renew(tables, "bridge_return_products", orders, Mart(stored=facts | _dimensions(whole)).bridge_return_products, marks)

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
 from tillwright.functions.completion import Model
-from tillwright.operators import checks
+from tillwright.operators import checks, search_index
 from tillwright.plans import changes, insights, metrics
 from tillwright.plans.mart import Mart
 from tillwright.session import scratch, stage, together
 from tillwright.sources import files
 from tillwright.sources.ingest import MODES, forget_loads, ingest, landing_name
 from tillwright.sources.landing import extract
-from tillwright.sources.tables import Tables, newer, watermark
+from tillwright.sources.tables import Tables, newer, number_of_parts, part_of, watermark
 
 DIMENSIONS = ("dim_customers", "dim_products", "dim_vendors", "dim_dates")
 STORED_REPORTS = ("mv_revenue_by_region", "mv_return_rate_by_vendor", "mv_slow_moving_products")
@@ -34,13 +34,16 @@ TABLES = (
     "bridge_return_products",
 )
 
+# Columns that a search may be narrowed by.
+DOCUMENT_FILTERS = ("doc_type", "product_id", "vendor_id", "region")
+
 TEXTS = ("flagged_return_customers", "ai_business_insights", "dq_audit_report", "rag_documents", "rag_query_history")
 
 
 def drop_outputs(tables: Tables) -> None:
     """Remove all tables and views of a warehouse, and what it knows of loaded files."""
     forget_loads(tables)
-    for name in (*TABLES, *STORED_REPORTS, *TEXTS, "column_tests", changes.MARKS, changes.PENDING):
+    for name in (*TABLES, *STORED_REPORTS, *TEXTS, "column_tests", changes.MARKS, changes.PENDING, *search_index.TABLES):
         tables.drop(name)
     for name in (*VIEWS, "pipeline_audit_log"):
         tables.spark.catalog.dropTempView(name)
@@ -191,20 +194,40 @@ def _write_reports(tables: Tables, model: Model | None) -> None:
 
 
 def refresh_documents(tables: Tables, whole: Mart, moment: datetime | None = None) -> None:
-    """Rewrite the document table; a document whose text did not change keeps its time."""
+    """Renew the document table and its search index; a document whose text did not change keeps its time."""
     with scratch(tables.spark):
         _write_documents(tables, whole, moment)
 
 
 def _write_documents(tables: Tables, whole: Mart, moment: datetime | None) -> None:
-    documents = insights.rag_documents(whole)
+    put_documents(tables, insights.rag_documents(whole), moment)
+
+
+def put_documents(tables: Tables, documents: DataFrame, moment: datetime | None = None) -> None:
+    """Documents are compared by a digest of what they hold; only parts with a change are written anew."""
+    name, key = "rag_documents", "doc_id"
+    documents = stage(documents, name)
     now = files.timestamp(moment or files.now())
-    before = tables.read("rag_documents")
-    if before is None:
-        dated = documents.withColumn("updated_at", now)
-    else:
-        known = before.select("doc_id", F.col("doc_text").alias("_text"), F.col("updated_at").alias("_at"))
-        same = F.col("doc_text").eqNullSafe(F.col("_text")) & F.col("_at").isNotNull()
-        dated = documents.join(known, "doc_id", "left").withColumn("updated_at", F.when(same, F.col("_at")).otherwise(now))
-        dated = stage(dated.drop("_text", "_at"), "rag_documents")
-    tables.replace("rag_documents", dated)
+    before, parts = tables.read(name), tables.parts(name)
+    if before is None or parts is None:
+        tables.replace(name, documents.withColumn("updated_at", now), key, number_of_parts(documents.count()))
+        search_index.build(tables, documents, DOCUMENT_FILTERS)
+        return
+    own = F.xxhash64(*[F.col(c) for c in documents.columns if c != key])
+    digests = [rows.select(key, F.sha2("doc_text", 256).alias("text"), own.alias("rest")) for rows in (before, documents)]
+    changed = stage(_differing(*digests, key), "changed_documents")
+    if not changed.isEmpty():
+        touched = changes.changed_parts(changed, key, parts)
+        known = tables.read(name, touched).select(key, "updated_at").join(changed.where("new_text"), key, "left_anti")
+        fresh = documents.where(part_of(F.col(key), parts).isin(touched)).join(known, key, "left")
+        tables.replace_parts(name, fresh.withColumn("updated_at", F.coalesce("updated_at", now)), key, parts, touched)
+    search_index.refresh(tables, documents, DOCUMENT_FILTERS)
+
+
+def _differing(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, new_text) of the documents that are new, gone or read otherwise, or whose attributes do."""
+    old = before.select(F.col(key).alias("old_key"), F.col("text").alias("old_text"), F.col("rest").alias("old_rest"))
+    both = after.join(old, F.col(key) == F.col("old_key"), "full")
+    same_text = F.col("text").eqNullSafe(F.col("old_text")) & F.col(key).isNotNull() & F.col("old_key").isNotNull()
+    same = same_text & F.col("rest").eqNullSafe(F.col("old_rest"))
+    return both.where(~same).select(F.coalesce(key, "old_key").alias(key), (~same_text).alias("new_text"))

@@ -34,7 +34,8 @@ def number_of_parts(rows: int) -> int:
 
 
 def part_of(key: Column, parts: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    """The name of a key's part, which tells the number of parts as well."""
+    return F.concat(F.pmod(F.xxhash64(key), F.lit(parts)).cast("string"), F.lit(f"_of_{parts}"))
 
 
 class Tables:
@@ -47,7 +48,7 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, parts: Iterable[int] | None = None) -> DataFrame | None:
+    def read(self, name: str, parts: Iterable[str] | None = None) -> DataFrame | None:
         """None for a table that was never written; with ``parts`` only those folders are read."""
         path = self.path(name)
         try:
@@ -70,6 +71,8 @@ class Tables:
         """Put rows in the place of a table, with a ``key`` in parts; readers find the old rows until it is written."""
         beside = f"{self.path(name)}.new-{uuid.uuid4().hex}"
         self._written(rows, key, parts).parquet(beside)
+        if key is not None:  # a part without rows keeps the columns of a table that has none
+            rows.limit(0).write.parquet(f"{beside}/{PART}=none_of_{parts}")
         self._swap(beside, self.path(name))
 
     @staticmethod
@@ -77,12 +80,19 @@ class Tables:
         if key is None:
             return rows.write
         # rows of a part come together, in several tasks where they are many
-        return rows.withColumn(PART, part_of(F.col(key), parts)).hint("rebalance", F.col(PART)).write.partitionBy(PART)
+        keyed = rows.withColumn(PART, part_of(F.col(key), parts)).hint("rebalance", F.col(PART))
+        # within a file rows are in order of the key, so that a reader of few keys skips most of it
+        return keyed.sortWithinPartitions(PART, key).write.partitionBy(PART)
+
+    def parts(self, name: str) -> int | None:
+        """The number of parts that a table was written in, None for a table without parts."""
+        folders = [f for f in self._folders(self.path(name)) if f.startswith(f"{PART}=")]
+        return int(folders[0].rsplit("_of_", 1)[1]) if folders else None
 
     def append_parts(self, name: str, rows: DataFrame, key: str, parts: int) -> None:
         self._written(rows, key, parts).mode("append").parquet(self.path(name))
 
-    def replace_parts(self, name: str, rows: DataFrame, key: str, parts: int, changed: Iterable[int]) -> None:
+    def replace_parts(self, name: str, rows: DataFrame, key: str, parts: int, changed: Iterable[str]) -> None:
         """Put rows in the place of the changed parts; a part without rows goes, the files of others stay.
 
         All rows must belong to the changed parts. Parts that a broken run had set aside are put back before.
