@@ -59,15 +59,15 @@ def test_bridge_of_a_hot_order(spark, tiny_partitions):
 
 
 class Crowded:
-    """One returned order of 200 vendors and 200 products, beside an ordinary one."""
+    """Returned orders of 1,000 vendors and 1,000 products, two of them of the same vendors, beside ordinary ones."""
 
-    def __init__(self, spark):
-        self.bridge_return_products = spark.range(201).selectExpr(
-            "if(id = 200, 'small', 'hot') as order_id", "concat('P', id) as product_id", "1.0D as allocated_refund"
-        )
-        self.lines = spark.range(40_001).selectExpr(
-            "if(id = 40000, 'small', 'hot') as order_id", "concat('V', id % 200) as vendor_id"
+    def __init__(self, spark, size=1000):
+        self.size = size
+        orders = "case when id < {0} then 'hot' when id < 2 * {0} then 'twin' when id % 2 = 0 then 'small' else 'other' end as order_id"
+        self.bridge_return_products = spark.range(2 * size + 2).selectExpr(
+            orders.format(size), f"concat('P', id % {size}) as product_id", "0.25D as allocated_refund"
         )
+        self.lines = spark.range(2 * size + 3).selectExpr(orders.format(size), f"concat('V', id % {size}) as vendor_id")
 
     def sales(self, measures):
         return self.lines.select("order_id", *measures)
@@ -76,10 +76,32 @@ class Crowded:
         return self.bridge_return_products.select("order_id")
 
 
-def test_vendors_and_products_of_a_crowded_order(spark, tiny_partitions):
-    pairs = metrics.vendor_product_returns(Crowded(spark)).groupBy("vendor_id", "product_id").count()
-    assert pairs.count() == 200 * 200 + 1
-    assert {r[0] for r in pairs.select("count").distinct().collect()} == {1}
+def test_vendors_and_products_of_crowded_orders(spark, tiny_partitions):
+    crowded = Crowded(spark)
+    found = metrics.vendor_product_returns(crowded)
+    counts = found.groupBy("return_count", "total_allocated_refund").count().collect()
+    # 'small' has the product P0 and the vendors V0 and V2, 'other' has P1 and V1
+    assert {(r[0], float(r[1])): r[2] for r in counts} == {(2, 0.5): 1000 * 1000 - 3, (3, 0.75): 3}
+    three = {tuple(r) for r in found.where("return_count = 3").select("vendor_id", "product_id").collect()}
+    assert three == {("V0", "P0"), ("V2", "P0"), ("V1", "P1")}
+
+
+def test_pairs_are_made_once_for_a_set_of_vendors(spark, tiny_partitions):
+    """A thousand orders of the same fifty vendors make the pairs of one."""
+    class Alike:
+        bridge_return_products = spark.range(1000).selectExpr(
+            "concat('O', id) as order_id", "concat('P', id % 4) as product_id", "1.0D as allocated_refund"
+        )
+
+        def sales(self, measures):
+            return spark.range(50_000).selectExpr("concat('O', id % 1000) as order_id", "concat('V', id div 1000) as vendor_id")
+
+        def returns(self):
+            return self.bridge_return_products.select("order_id")
+
+    found = metrics.vendor_product_returns(Alike())
+    assert {tuple(r) for r in found.select("return_count", "total_allocated_refund").distinct().collect()} == {(250, 250)}
+    assert found.count() == 50 * 4
 
 
 def test_copies_of_one_customer(spark):

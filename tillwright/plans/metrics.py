@@ -195,16 +195,31 @@ def mv_product_return_impact(mart: Mart) -> DataFrame:
 
 
 def vendor_product_returns(mart: Mart) -> DataFrame:
-    """Each returned product of an order beside each vendor of that order.
+    """Returns and refunds per vendor and product: each returned product of an order counts for all its vendors.
 
-    Vendors are kept of returned orders only, once per order; an order with a great many of both is split by
-    the skew join, and the pairs are summed where they are made.
+    Orders with the same vendors are summed per product before products meet vendors, so that pairs are made once for
+    a set of vendors and not for each order. A set is known by the number of its vendors and two sums of their
+    hashes, 128 bits together, and named after the first order that has it.
     """
     products = mart.bridge_return_products.select("order_id", "product_id", "allocated_refund")
     vendors = mart.sales(measures=["vendor_id"]).where("vendor_id is not null")
     returned = mart.returns().select("order_id")
-    vendors = vendors.join(returned, "order_id", "left_semi").distinct()
-    return products.join(vendors, "order_id")
+    vendors = stage(vendors.join(returned, "order_id", "left_semi").distinct(), "order_vendors")
+    of_order = vendors.groupBy("order_id").agg(
+        F.count("*").alias("vendors"),
+        F.bit_xor(F.xxhash64("vendor_id")).alias("mixed"),
+        F.sum(F.xxhash64("vendor_id", F.lit(1)).cast("decimal(38,0)")).alias("total"),
+    )
+    sets = of_order.groupBy("vendors", "mixed", "total").agg(F.min("order_id").alias("set_id"))
+    named = of_order.join(sets, ["vendors", "mixed", "total"]).select("order_id", "set_id")
+    sums = products.join(named, "order_id").groupBy("set_id", "product_id").agg(
+        F.count("*").alias("return_count"), exact_sum(F.col("allocated_refund")).alias("refund")
+    )
+    members = vendors.join(sets.select(F.col("set_id").alias("order_id")), "order_id", "left_semi")
+    pairs = sums.join(members.withColumnRenamed("order_id", "set_id"), "set_id")
+    return pairs.groupBy("vendor_id", "product_id").agg(
+        F.sum("return_count").alias("return_count"), F.sum("refund").alias("total_allocated_refund")
+    )
 
 
 def mv_vendor_product_performance(mart: Mart) -> DataFrame:
@@ -221,14 +236,8 @@ def mv_vendor_product_performance(mart: Mart) -> DataFrame:
             rounded(exact_sum(F.col("profit"))).alias("total_profit"),
         )
     )
-    returned = (
-        vendor_product_returns(mart)
-        .groupBy("vendor_id", "product_id")
-        .agg(
-            F.count("*").alias("return_count"),
-            rounded(exact_sum(F.col("allocated_refund"))).alias("total_allocated_refund"),
-        )
-    )
+    returned = vendor_product_returns(mart)
+    returned = returned.withColumn("total_allocated_refund", rounded(F.col("total_allocated_refund")))
     vendors = mart.dim_vendors.select("vendor_id", "vendor_name")
     products = mart.dim_products.select("product_id", "product_name", "brand")
     return (
