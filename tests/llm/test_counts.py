@@ -32,13 +32,32 @@ def test_batches_equal_a_recount_and_commit_once(spark, rollup):
     assert sum(v[1] for k, v in _rows(rollup.totals()).items() if k[2] == "words@1") == words
 
 
-def test_an_interrupted_commit_counts_nothing_and_is_replaced(spark, rollup):
+@pytest.mark.parametrize("n", [0, 5])
+def test_an_interrupted_commit_counts_nothing_and_is_replaced(spark, rollup, monkeypatch, n):
+    """Also if the batch turns out to be empty when it is sent again."""
     docs = documents(spark, ODD_TEXTS)
-    left = counts.deltas(inserted=docs.limit(3)).withColumn("batch", F.lit("one"))
-    left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(rollup.deltas)
-    assert rollup.totals().count() == 0
-    rollup.commit("one", counts.deltas(inserted=docs))
-    assert _rows(rollup.totals()) == _rows(counts.deltas(inserted=docs))
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(spark, "createDataFrame", _lost)
+        rollup.commit("one", counts.deltas(inserted=docs.limit(3)))
+    assert rollup.totals().count() == 0 and not rollup.committed("one")
+    assert rollup.commit("one", counts.deltas(inserted=docs.limit(n)))
+    assert _rows(rollup.totals()) == _rows(counts.deltas(inserted=docs.limit(n)))
+
+
+def _lost(*_):
+    raise RuntimeError("lost before the ledger was written")
+
+
+def test_folded_attempts_keep_totals_and_batches(spark, rollup):
+    docs = documents(spark, ODD_TEXTS)
+    for i in range(4):
+        rollup.commit(str(i), counts.deltas(inserted=docs) if i % 2 == 0 else counts.deltas(deleted=docs.limit(4)))
+    before = _rows(rollup.totals())
+    assert rollup.fold() == 4 and rollup.fold() == 1
+    assert _rows(rollup.totals()) == before
+    assert not rollup.commit("2", counts.deltas(inserted=docs))
+    assert rollup.commit("4", counts.deltas(inserted=docs.limit(4))) and rollup.fold() == 2
+    assert sum(v[0] for v in _rows(rollup.totals()).values()) == sum(v[0] for v in before.values()) + 2 * docs.limit(4).count()
 
 
 def test_bpe_counts_and_empty_batches(spark, rollup):

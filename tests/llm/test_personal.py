@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import hashlib
 import random
 import re
@@ -93,3 +94,17 @@ def test_keys_are_seeds_and_spans_only_in_trusted_contexts(spark):
 
 def test_empty_table(spark):
     assert personal.report(documents(spark, TEXTS).limit(0)).count() == 0
+
+
+def test_many_matches_in_one_text_take_time_in_proportion(spark):
+    """Spans of 200,000 matches; base spans and candidates overlap at each of them, or nowhere."""
+    seconds = {}
+    for n in (20_000, 200_000):
+        rows = [(1, "1 " * n), (2, "ab1@cd.ef " * n), (3, "abc123 " * n), (4, "1.2.3.4 x12345 " * (n // 2))]
+        start = time.perf_counter()
+        found = {r["doc_id"]: r for r in personal.report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+        seconds[n] = time.perf_counter() - start
+        assert [found[i]["n_email"] for i in (1, 2, 3, 4)] == [0, n, 0, 0]
+        assert found[4]["n_ip"] == n // 2
+        assert found[2]["spans"].endswith(f",email:{10 * n - 10}:{10 * n - 1}")
+    assert seconds[200_000] < 30 * seconds[20_000]

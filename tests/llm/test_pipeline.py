@@ -26,7 +26,7 @@ def test_stages_against_plain_versions(spark):
     assert sum(kept) >= 0.95 * len(kept)
     assert {i: [t] for i, t in rows[2].items()} == _plain(list(rows[1].items()))
     ids = sorted(rows[2])
-    component = joined([shingles(rows[2][i], 4) for i in ids], 85)
+    component = joined([shingles(rows[2][i], 5) for i in ids], 80)
     assert sorted(rows[3]) == [i for k, i in enumerate(ids) if component[k] == k]
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     searchers = contamination.build((str(i), t, True) for i, t in items)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwright.session import stage
@@ -107,19 +107,24 @@ def matches(text: Column, kind: str, pattern: str, needed: str) -> Column:
         matched, before = found["m"], found["s"]
         lengths = F.zip_with(matched, F.slice(before, 2, F.size(matched)), lambda m, s: F.length(m) + F.length(s))
 
-        def build(starts: Column) -> Column:
+        def build(starts: Column, lead: Column) -> Column:
             return F.transform(
                 F.arrays_zip(matched.alias("m"), F.slice(before, 1, F.size(matched)).alias("s"), starts.alias("b")),
                 lambda x: F.struct(
                     F.lit(kind).alias("kind"),
-                    (F.length(F.element_at(before, 1)) + x["b"]).alias("start"),
-                    (F.length(F.element_at(before, 1)) + x["b"] + F.length(x["m"])).alias("end"),
+                    (lead + x["b"]).alias("start"),
+                    (lead + x["b"] + F.length(x["m"])).alias("end"),
                     x["m"].alias("instance"),
                     _context(x["s"]).alias("context"),
                 ),
             )
 
-        return F.when(F.size(matched) > 0, let(_running(lengths), build)).otherwise(F.array().cast(_SPAN))
+        # each is counted once for all matches
+        spans = let(
+            lengths,
+            lambda own: let(_running(own), lambda starts: let(F.length(F.element_at(before, 1)), lambda lead: build(starts, lead))),
+        )
+        return F.when(F.size(matched) > 0, spans).otherwise(F.array().cast(_SPAN))
 
     found = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("s")
@@ -199,22 +204,35 @@ def confident_patterns(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return patterns.where(F.col("worth") >= CONFIDENT)
 
 
+def alone(mentions: DataFrame) -> DataFrame:
+    """The mentions without the candidates that overlap a base span of the same text.
+
+    Of the base spans that begin before a candidate the one that ends last tells, of the others the one that begins
+    first; both are running values over the mentions of a text in order.
+    """
+    text = Window.partitionBy("doc_id", "version")
+    forth = text.orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    back = text.orderBy(F.desc("start"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(forth)
+    ahead = F.min(F.when(F.col("base"), F.col("start"))).over(back)
+    overlaps = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
+    return mentions.withColumn("overlaps", overlaps).where(F.col("base") | ~F.col("overlaps")).drop("overlaps")
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id, base (array of kind, start, end, instance, context), further (array of start, end)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", F.xxhash64(text).alias("version"), base_spans(text).alias("base"), tokens(text).alias("tokens"))
-    alone = F.filter(
-        "tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))
-    )
-    found = stage(found.select("doc_id", "version", "base", alone.alias("tokens")), "spans")
+    found = stage(found, "spans")
     mentions = found.select("doc_id", "version", F.explode(F.concat("base", "tokens")).alias("m"))
     own = F.col("m.kind") != "id"
     mentions = mentions.select(
         "doc_id", "version", "m.start", "m.end", "m.context", "m.instance", own.alias("base"),
         (own | F.col("m.instance").rlike(KEY)).alias("seed"),
     )
-    named = mentions.where(F.col("context") != "")
-    edges = named.groupBy("context", "instance").agg(F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times"))
+    mentions = mentions.groupBy(*mentions.columns).agg(F.count(F.lit(1)).alias("times"))
+    named = stage(alone(mentions).where(F.col("context") != ""), "mentions")
+    edges = named.groupBy("context", "instance").agg(F.max("seed").alias("seed"), F.sum("times").alias("times"))
     trusted = confident_patterns(stage(edges, "edges"), docs.select("text"))
     further = named.where("NOT base").join(trusted, "context").groupBy("doc_id", "version").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("further")
