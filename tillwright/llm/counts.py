@@ -2,9 +2,10 @@
 
 A batch of changes becomes one signed row per group: inserted documents count plus, deleted ones minus, revised ones
 minus as they were and plus as they are. Totals are the sums of all committed deltas, so that nothing is counted
-twice or recounted. A batch is committed once: its deltas replace whatever an interrupted attempt of the same batch
-left, then the ledger takes its id; a repeated commit finds the id and does nothing, and deltas without a ledger
-entry don't count.
+twice or recounted. A batch is committed once: each attempt writes its deltas to a folder of its own, then the ledger
+takes the batch and the attempt; a repeated commit finds the batch and does nothing, and an attempt that the ledger
+doesn't name doesn't count. Many attempts are folded into one by a further ledger entry, so that totals are read from
+few folders. One writer at a time: two that commit the same batch at the same moment would both enter it.
 
 Defined results: a null text has no tokens but its document counts; null sources and languages are groups; every row
 is a document, also a repeated one; groups whose documents and tokens are both zero are left out; an empty batch is
@@ -13,6 +14,7 @@ committed and changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +36,9 @@ TOKENIZERS: dict[str, Callable[[Column], Column]] = {"words@1": _matches(WORDS),
 BPE_TOKENIZER: dict[str, Callable[[Column], Column]] = {"word_bpe_49k@1": bpe.token_counts}
 
 GROUP = ["source", "lang", "tokenizer"]
-SCHEMA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, batch string"
-LEDGER = "batch string"
+SCHEMA = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint, attempt string"
+# An entry without a batch folds other attempts into its own.
+LEDGER = "batch string, attempt string, folded array<string>"
 
 
 def signed(docs: DataFrame, sign: int, tokenizers: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
@@ -84,9 +87,8 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.deltas, self.ledger = spark, f"{path}/deltas", f"{path}/ledger"
-        for place, schema in ((self.deltas, SCHEMA), (self.ledger, LEDGER)):
-            empty = spark.createDataFrame([], schema).write.mode("ignore")
-            (empty.partitionBy("batch") if place == self.deltas else empty).parquet(place)
+        spark.createDataFrame([], SCHEMA).write.mode("ignore").partitionBy("attempt").parquet(self.deltas)
+        spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(self.ledger)
 
     def _ledger(self) -> DataFrame:
         return self.spark.read.schema(LEDGER).parquet(self.ledger)
@@ -98,12 +100,28 @@ class Rollup:
         """Adds a batch of deltas; False if it is already there."""
         if self.committed(batch):
             return False
-        rows = changes.select(*GROUP, "n_docs", "n_tokens", F.lit(batch).alias("batch"))
-        whole = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        whole.partitionBy("batch").parquet(self.deltas)
-        self.spark.createDataFrame([(batch,)], LEDGER).coalesce(1).write.mode("append").parquet(self.ledger)
+        self._enter(batch, changes, [])
         return True
 
+    def _enter(self, batch: str | None, rows: DataFrame, folded: list[str]) -> None:
+        attempt = uuid.uuid4().hex
+        rows.select(*GROUP, "n_docs", "n_tokens").write.parquet(f"{self.deltas}/attempt={attempt}")
+        entry = self.spark.createDataFrame([(batch, attempt, folded)], LEDGER)
+        entry.coalesce(1).write.mode("append").parquet(self.ledger)
+
+    def _live(self) -> DataFrame:
+        """The attempts that count: those of the ledger that are not folded into another one."""
+        ledger = self._ledger()
+        folded = ledger.select(F.explode("folded").alias("attempt"))
+        return ledger.select("attempt").distinct().join(folded, "attempt", "left_anti")
+
+    def fold(self) -> int:
+        """Replace all attempts that count by one that holds their sums; their number. Old folders stay, unread."""
+        attempts = [r["attempt"] for r in self._live().collect()]
+        if len(attempts) > 1:
+            self._enter(None, self.totals(), attempts)
+        return len(attempts)
+
     def totals(self) -> DataFrame:
         rows = self.spark.read.schema(SCHEMA).parquet(self.deltas)
-        return _sums(rows.join(self._ledger().distinct(), "batch", "left_semi"))
+        return _sums(rows.join(self._live(), "attempt", "left_semi"))
