@@ -519,7 +519,8 @@ def oracle() -> dict[str, str]:
     q["dq_rejection_rates"] = (
         "SELECT a.entity, split_part(v, ':', 1) AS affected_field, split_part(v, ':', 2) AS issue_type, COUNT(*) AS rejected_count, "
         f"a.bronze_count AS total_entity_records, {_pct('COUNT(*)', 'a.bronze_count')} AS rejection_rate_pct, "
-        "CAST(LEAST(COUNT(*), 3) AS INTEGER) AS n_samples "
+        "array_to_string(list_transform(list_slice(list(record_key ORDER BY record_key NULLS LAST), 1, 3), lambda k: coalesce(k, '')), ',') "
+        "AS sample_keys "
         "FROM rejects r JOIN audit a ON r.source_table = 'clean_' || a.entity GROUP BY a.entity, v, a.bronze_count"
     )
     q["dq_prompts"] = (

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tillwright import fixed_values as fv
-from tillwright.catalogue import mart
+from tillwright.catalogue import QUERIES, mart
 from tillwright.functions.completion import complete
 from tillwright.operators.search import search
 from tillwright.plans import insights, metrics, semantic
@@ -97,3 +98,25 @@ def test_star_needs_a_declared_join(spark):
     with pytest.raises(ValueError):
         semantic.star(m, "fact_sales", {"dim_customers": ["customer_id"]})
     assert semantic.star(m, "fact_sales", {"dim_customers": ["region"]}).count() == m.fact_sales.count()
+
+
+def test_whole_quality_report_against_plain_python(spark):
+    """Every sample text and every prompt, from all quarantined rows."""
+    own = mart(spark, SMALL)
+    rejected = own.rejected_records.select("source_table", "affected_field", "issue_type", "record_key", "record_data").collect()
+    totals = {r["entity"]: r["bronze_count"] for r in own.pipeline_audit_log.collect()}
+    groups = {}
+    for r in rejected:
+        groups.setdefault((r[0].replace("clean_", ""), r[1], r[2]), []).append((r[3], r[4]))
+    found = {(r["entity"], r["affected_field"], r["issue_type"]): r for r in QUERIES["dq_audit_report"](spark, SMALL).collect()}
+    assert found.keys() == groups.keys() and len(found) > 10
+    for (entity, field, issue), records in groups.items():
+        row = found[entity, field, issue]
+        records.sort(key=lambda r: (r[0] is None, (r[0] or "").encode(), r[1].encode()))
+        samples = " | ".join(text for _, text in records[:3])
+        rate = (Decimal(100 * len(records)) / totals[entity]).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert (row["rejected_count"], row["total_entity_records"], row["sample_records"]) == (len(records), totals[entity], samples)
+        assert row["rejection_rate_pct"] == float(rate)
+        facts = f"Entity: {entity}. Field: {field}. Issue: {issue}. Rejected: {len(records)} out of {totals[entity]} records ({rate}%)."
+        assert row["prompt"] == fv.QUALITY_PROMPT.split("Entity: ")[0].format(company=insights.COMPANY) + f"{facts} Samples: {samples}"
+        assert row["prompt"] in row["ai_explanation"]

@@ -19,13 +19,17 @@ def con():
     return connect(SMALL)
 
 
+# Held against a plain version in tests/test_insights.py.
+WITHOUT_SQL = {"dq_audit_report"}
+
+
 def test_every_query_has_a_check():
-    assert set(catalogue.QUERIES) == set(ORACLE)
+    assert set(catalogue.QUERIES) - WITHOUT_SQL == set(ORACLE)
     assert set(catalogue.QUERIES) <= set(QUERIES)
     assert set(ORACLE) <= set(entry.oracle_sql()) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(catalogue.QUERIES))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright import fixed_values as fv
@@ -141,10 +141,18 @@ def _check_in_range(m: Mart) -> DataFrame:
 
 
 def _dq_rejection_rates(m: Mart) -> DataFrame:
+    """Counts and rates, with the keys of the sample records, read back from their texts."""
     rows = insights.with_rejection_rates(insights.rejection_groups(m.hold_rejects().rejected_records), m.pipeline_audit_log)
-    samples = F.size(F.split("sample_records", r" \| \{")).alias("n_samples")
+
+    def key(sample: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for entity, name in rules.RECORD_KEY.items():
+            found = F.when(F.col("entity") == entity, F.get_json_object(sample, f"$.{name}")).otherwise(found)
+        return F.coalesce(found, F.lit(""))
+
+    keys = F.array_join(F.transform(F.split("sample_records", r" \| (?=\{)"), key), ",").alias("sample_keys")
     return rows.select(
-        "entity", "affected_field", "issue_type", "rejected_count", "total_entity_records", "rejection_rate_pct", samples
+        "entity", "affected_field", "issue_type", "rejected_count", "total_entity_records", "rejection_rate_pct", keys
     )
 
 
@@ -153,6 +161,11 @@ def _dq_prompts(m: Mart) -> DataFrame:
     return report.select("entity", "affected_field", F.substring_index("prompt", " Samples: ", 1).alias("prompt"))
 
 
+def _dq_audit_report(m: Mart) -> DataFrame:
+    """The whole report, sample texts and prompts included; its samples are texts that SQL does not write alike."""
+    return insights.dq_audit_report(m).drop("generated_at")
+
+
 def _bridge(m: Mart) -> DataFrame:
     weight = F.col("allocation_weight").cast("decimal(18,6)").cast("double")
     return m.bridge_return_products.withColumn("allocation_weight", weight)
@@ -253,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "check_in_range": _on_mart(_check_in_range),
     "column_tests": _on_mart(lambda m: checks.column_tests(m.relation)),
     "dq_rejection_rates": _on_mart(_dq_rejection_rates),
+    "dq_audit_report": _on_mart(_dq_audit_report),
     "dq_prompts": _on_mart(_dq_prompts),
     "dim_customers": _table("dim_customers"),
     "dim_products": _table("dim_products"),
