@@ -654,7 +654,8 @@ GROUP BY ALL"""
         "SELECT *, IF(doc_type = 'vendor' OR coalesce(region = 'West' AND upper(doc_text) <> doc_text, FALSE), "
         "'2024-01-02 00:00:00', '2024-01-01 00:00:00') AS updated_at FROM docs"
     )
-    q["ingest_json_array"] = q["ingest_json_returns"]
+    q["ingest_json_array"] = q["ingest_json_returns"].replace(" FROM", ", '2024-01-01 00:00:00' AS _load_timestamp FROM", 1)
+    q["stored_view_segments"], q["stored_view_audit"] = q["mv_segment_profitability"], q["audit_log"]
     q["ingest_report"] = " UNION ALL ".join(
         f"SELECT '{e}' AS entity, _source_file AS source_file, 'loaded' AS status, NULL AS message, COUNT(*) AS row_count "
         f"FROM raw_{e} GROUP BY _source_file"

@@ -170,7 +170,11 @@ def refresh_reports(tables: Tables, model: Model | None = None) -> None:
     """Column tests, stored reports and texts; the other reports and the audit become views."""
     with scratch(tables.spark):
         _write_reports(tables, model)
-    # views go on reading what they stage
+    create_views(tables)
+
+
+def create_views(tables: Tables) -> None:
+    """The reports that are not stored, and the audit, as views of the session; they go on reading what they stage."""
     whole = mart(tables)
     for name in VIEWS:
         metrics.METRICS[name](whole).createOrReplaceTempView(name)

@@ -89,6 +89,11 @@ class Tables:
         folders = [f for f in self._folders(self.path(name)) if f.startswith(f"{PART}=")]
         return int(folders[0].rsplit("_of_", 1)[1]) if folders else None
 
+    def batches(self, name: str) -> list[int]:
+        """The numbered micro-batches that a stream has written to a table."""
+        found = [f.removeprefix(f"{BATCH}=") for f in self._folders(self.path(name)) if f.startswith(f"{BATCH}=")]
+        return [int(number) for number in found if number.isdigit()]
+
     def append_parts(self, name: str, rows: DataFrame, key: str, parts: int) -> None:
         self._written(rows, key, parts).mode("append").parquet(self.path(name))
 
