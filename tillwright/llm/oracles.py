@@ -176,3 +176,153 @@ component AS (SELECT reach.g, min(doc_id) AS component_id FROM reach JOIN least_
 SELECT n.doc_id, n.n AS n_shingles, CASE WHEN member.g IS NULL THEN n.doc_id ELSE component_id END AS component_id
 FROM n LEFT JOIN member USING (r) LEFT JOIN component USING (g)
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, half a byte at a time."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    digit = lambda at: f"strpos('0123456789ABCDEF', substr(hex(encode({text})), CAST({at} AS BIGINT), 1)) - 1"
+    # each byte, then a zero: two steps of four bits
+    halves = (
+        f"list_transform(range(0, 2 * octet_length(encode({text}))), "
+        f"lambda k: CASE WHEN k % 2 = 0 THEN 16 * ({digit('k + 1')}) + {digit('k + 2')} ELSE 0 END)"
+    )
+    step = f"lambda c, v: xor(CAST({table} AS BIGINT[])[(xor(c, v) & 15) + 1], xor(c, v) >> 4)"
+    steps = f"list_concat([CAST(4294967295 AS BIGINT)], CAST({halves} AS BIGINT[]))"
+    return f"xor(list_reduce({steps}, {step}), CAST(4294967295 AS BIGINT))"
+
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{_UPPER}', '{_UPPER.lower()}') AS run
+  FROM documents
+),
+counted AS (SELECT id, run, count(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY id, run),
+hashed AS (SELECT run, c, {_crc32("id || ':' || run")} AS h FROM counted),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+  FROM hashed
+),
+vocabulary AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+),
+deleted AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM vocabulary)
+),
+near AS (
+  SELECT a.word, b.word AS other FROM deleted a JOIN deleted b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, rest FROM deleted WHERE rest IN (SELECT word FROM vocabulary)
+  UNION SELECT rest, word FROM deleted WHERE rest IN (SELECT word FROM vocabulary)
+),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY v.n DESC, other) AS other
+  FROM near JOIN vocabulary v ON v.word = other GROUP BY near.word
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN f.n >= 5 * w.n THEN other END AS form,
+    CASE WHEN f.n >= 5 * w.n THEN f.n END AS form_n
+  FROM vocabulary w LEFT JOIN best USING (word) LEFT JOIN vocabulary f ON f.word = best.other
+),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NOT NULL
+)
+SELECT forms.word, forms.form, chain.root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN chain ON chain.word = forms.word JOIN forms ends ON ends.word = chain.root WHERE ends.form IS NULL
+"""
+
+
+def _repair() -> str:
+    """Best edits from the last row to the first, for each state (0 nothing yet, 1 after s, 2 after u, 3 after a).
+
+    A value is the cost in six digits and the edits' initials, so that the least text is the cheapest.
+    """
+
+    def plus(value: str, cost: str, edit: str) -> str:
+        return f"(lpad(CAST(CAST(substr({value}, 1, 6) AS INTEGER) + {cost} AS VARCHAR), 6, '0') || '{edit}' || substr({value}, 7))"
+
+    following = {0: 2, 1: 2, 2: 3, 3: 2}
+    edited = []
+    for p in range(4):
+        kept = [plus(f"f{p}", "4", "D")]
+        for initial, states, to in (("s", (0,), 1), ("u", (0, 1, 3), 2), ("a", (2,), 3)):
+            if p in states:
+                kept.append(f"CASE WHEN stays AND left(role, 1) = '{initial}' THEN {plus(f'f{to}', 'cut', 'K')} END")
+                if initial != "s":
+                    kept.append(f"CASE WHEN stays THEN {plus(f'f{to}', 'cut + 3', 'R')} END")
+        edited.append(f"least({', '.join(kept)}) AS b{p}")
+    closed = []
+    for p in range(4):
+        once, twice = f"b{following[p]}", f"b{following[following[p]]}"
+        closed.append(f"least(b{p}, {plus(once, '3', 'I')}, {plus(plus(twice, '3', 'I'), '3', 'I')}) AS f{p}")
+    return f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault
+  FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM raw WHERE fault <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM damaged
+),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'sound' END AS kind,
+    coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) NOT IN ('su', 'ua', 'au'), FALSE) AS breaks
+  FROM placed
+),
+edits AS (
+  SELECT *, kind NOT IN ('blank', 'duplicate') AS stays, CASE WHEN kind = 'truncated' THEN 3 ELSE 0 END AS cut FROM judged
+),
+counted AS (
+  SELECT conv_id, max(pos) AS size, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (kind = 'blank') AS blank, count(*) FILTER (kind = 'duplicate') AS duplicate,
+    count(*) FILTER (kind = 'truncated') AS truncated, count(*) FILTER (breaks) AS illegal
+  FROM judged GROUP BY conv_id
+),
+ahead AS (
+  SELECT conv_id, size + 1 AS pos, '000000' AS f0, '000006II' AS f1, '000003I' AS f2, '000000' AS f3 FROM counted
+  UNION ALL
+  SELECT conv_id, pos, {", ".join(closed)} FROM (
+    SELECT ahead.conv_id, ahead.pos - 1 AS pos, {", ".join(edited)}
+    FROM ahead JOIN edits ON edits.conv_id IS NOT DISTINCT FROM ahead.conv_id AND edits.pos = ahead.pos - 1
+  )
+),
+least_cost AS (SELECT conv_id, CAST(substr(f0, 1, 6) AS BIGINT) AS cost, substr(f0, 7) AS audit FROM ahead WHERE pos = 1),
+walk AS (
+  SELECT conv_id, audit, 0 AS k, 0 AS pos, '' AS before, '' AS text, 0 AS rows FROM least_cost
+  UNION ALL
+  SELECT conv_id, audit, k + 1, pos + CASE WHEN edit = 'I' THEN 0 ELSE 1 END, CASE WHEN edit = 'D' THEN before ELSE left(now, 1) END,
+    CASE WHEN edit = 'D' THEN text ELSE text || CASE WHEN rows > 0 THEN chr(10) ELSE '' END || now || ':' || own END,
+    rows + CASE WHEN edit = 'D' THEN 0 ELSE 1 END
+  FROM (
+    SELECT walk.*, substr(audit, k + 1, 1) AS edit, CASE WHEN substr(audit, k + 1, 1) = 'I' THEN '' ELSE edits.text END AS own,
+      CASE WHEN substr(audit, k + 1, 1) = 'K' THEN role WHEN before = 'u' THEN 'assistant' ELSE 'user' END AS now
+    FROM walk LEFT JOIN edits ON edits.conv_id IS NOT DISTINCT FROM walk.conv_id AND edits.pos = walk.pos + 1
+    WHERE k < length(audit)
+  )
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(least_cost.audit, '') AS audit, sha256(coalesce(walk.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN least_cost ON least_cost.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM c.conv_id AND k = length(walk.audit)
+"""
+
+
+CONVERSATION_REPAIR = _repair()

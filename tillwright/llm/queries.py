@@ -117,4 +117,6 @@ ORACLES: dict[str, str] = {
     "op5_token_counts": oracles.TOKEN_COUNTS,
     "op7_line_dedup": oracles.LINE_DEDUP,
     "op10_decontamination": oracles.DECONTAMINATION,
+    "op11_spelling_variants": oracles.SPELLING_VARIANTS,
+    "op12_repair": oracles.CONVERSATION_REPAIR,
 }
