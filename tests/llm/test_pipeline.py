@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.compare import connect, differences
 from tests.conftest import SMALL
-from tests.llm.shared import joined, shingles
+from tests.llm.shared import ODD_TEXTS, documents, joined, shingles
 from tests.llm.test_lines import _plain
 from tillwright.llm import bpe, contamination, queries
 from tillwright.session import stage
@@ -56,3 +56,17 @@ def test_near_copies_by_five_words_and_80_percent(spark):
     assert component == [0, 0, 0, 3] and joined([shingles(t, 4) for t in texts], 85) == [0, 1, 2, 3]
     kept = corpus_pipeline.drop_copies(spark, docs, SMALL).collect()
     assert sorted(r["doc_id"] for r in kept) == sorted(set(component))
+
+
+def test_stages_with_odd_documents(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, extra columns, and labels of none or of one kind."""
+    docs = documents(spark, ODD_TEXTS * 2).withColumns({c: F.lit(1) for c in ("id", "kept", "found", "gone", "score", "label")})
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = docs.count()
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        kept = stage(function(spark, docs, str(tmp_path)), "odd")
+        assert kept.columns == docs.columns
+        assert (kept.count() == rows) == (name != "n-gram jaccard join")
+    encoded = corpus_pipeline.encode(spark, docs, str(tmp_path))
+    assert encoded.count() == rows

@@ -2,6 +2,9 @@
 
 Every step joins edges with the least neighbour of their ends, so that no list of neighbours is ever built; the
 result of each round is written, and the number of rounds grows with the logarithm of the largest component.
+
+Defined results: repeated edges and edges from a node to itself change nothing; a node without edges is in no result;
+a table without edges gives none.
 """
 
 from __future__ import annotations

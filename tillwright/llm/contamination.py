@@ -10,7 +10,7 @@ each block; what the passes find is joined per row, without a shuffle.
 
 Defined results: a null text has no words, a document without words has no hits; an item without id, without text or
 without words is left out; equal items all count; repeated rows give repeated results; an empty benchmark finds
-nothing.
+nothing. A task holds a few megabytes of texts, or one longer text, and some 50 bytes for each of its words.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ count makes regions larger, never wrong.
 
 Defined results: a null text is an empty one; a text without words has no shingles and is linked with nothing; texts
 with equal sets are linked; a document whose component has only null ids has a null component; repeated rows give
-repeated results.
+repeated results. Memory of a task is a multiple of its longest text, for the shingles of that text.
 """
 
 from __future__ import annotations

@@ -14,6 +14,9 @@ the two sets has, so that it bounds the Jaccard similarity from above.
 
 Step 4 leaves out only pairs that the bounds rule out or whose sets are already in one component, so that the
 components are those of all links, though not all pairs of a crowded region are made.
+
+Defined results: sets are known by 64-bit hashes, and sets of one hash are one set; a member that a region lists twice
+counts once; a set in no region, and a table without regions, have no links.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ gradients with per-weight steps, on a bounded sample of labelled documents (SAMP
 Labels, language, source and id are never inputs.
 
 Defined results: a null text is an empty one; an empty text is scored by its statistics; equal texts have equal
-scores; without usable labels of both classes nothing is known against a text and its score is 1.
+scores; without usable labels of both classes nothing is known against a text and its score is 1. Memory of a task is a
+multiple of its longest text, for the different words of that text and their values.
 """
 
 from __future__ import annotations
