@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,30 @@ def test_responses_in_blocks_are_those_of_whole_texts(monkeypatch):
         best, where = net.responses(x)
         assert np.allclose(best, whole[0], atol=1e-5)
         assert (where == whole[1]).all()
+
+
+def test_all_labelled_documents_are_learnt_from(spark):
+    """More than the 4,000 of a class that were once taken."""
+    ids = spark.range(9000)
+    docs = ids.selectExpr("id as doc_id", "concat('text ', id) as text")
+    docs = docs.unionByName(docs.where("doc_id < 20").selectExpr("doc_id", "'zzz' as text"))
+    labels = ids.selectExpr("id as doc_id", "0 as toxic").unionByName(ids.selectExpr("id + 9000 as doc_id", "1 as toxic"))
+    rows = sampling.labelled(docs, labels, "toxic", toxicity.FOLDS, toxicity.HELD_OUT).collect()
+    usable = {i for i in range(9000) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT}
+    assert len(usable) > 4000
+    assert len(rows) == len(usable) and {r["doc_id"] for r in rows} == usable
+
+
+def test_shards_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 64)
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
+    docs, known = (spark.read.parquet(f"{MEDIUM}/{name}.parquet") for name in ("documents", "labels"))
+    _check(toxicity.report(docs, known).collect(), 3, 1, labels, "toxic", 0.85)
+
+
+def test_shards_come_one_after_the_other():
+    shards = pa.array([0, 0, 2, 2, 2, 5], pa.int32())
+    whole = pa.record_batch([shards, pa.array(range(6))], ["shard", "n"])
+    for size in (1, 2, 4, 6):
+        batches = iter([whole.slice(a, size) for a in range(0, 6, size)])
+        assert [(s, t["n"].to_pylist()) for s, t in toxicity._shards(batches)] == [(0, [0, 1]), (2, [2, 3, 4]), (5, [5])]

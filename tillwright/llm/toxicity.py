@@ -2,10 +2,12 @@
 
 A word is the sum of two hashed embeddings, of the word and of its first bytes. Filters of one, two and three words
 run over the whole text, each filter keeps its largest response, and a logistic layer scores them. The network is
-trained in numpy on a bounded sample of labelled documents (SAMPLE_PER_CLASS rows of each label); since only the
-largest response of a filter has a gradient, a step touches a few words per text.
+trained in numpy on all labelled documents, in shards of some SHARD_ROWS that tasks fit side by side: in each round
+every shard starts from the same network, and the changes that the shards make are averaged. Since only the largest
+response of a filter has a gradient, a step touches a few words per text.
 
-Thresholds are calibrated by language on labelled documents that the network wasn't fitted on, and scores are shifted
+Thresholds are calibrated by language on all labelled documents that the network wasn't fitted on, a quarter of them,
+from counts of their logits in steps of 1 / LOGIT_STEPS, and scores are shifted
 so that each language's threshold is 0.7. The language is told from common words of the text itself: the language,
 source, id and label columns are never inputs of a score.
 
@@ -16,7 +18,6 @@ bytes each; responses are held for a block of them.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,9 +28,16 @@ from pyspark.sql import functions as F
 
 from tillwright.llm import sampling
 from tillwright.llm import text as T
+from tillwright.session import stage
 
-# At most so many documents of each label are fitted on, a quarter of them for the thresholds.
-SAMPLE_PER_CLASS = 4000
+# Documents that are fitted on in one go, on average, and how often the networks of several shards are averaged.
+SHARD_ROWS = 8192
+ROUNDS = 3
+# Tasks that fit side by side; each hands out one network.
+MOST_TASKS = 64
+# Numbers of a network that are summed together.
+SLICE = 1 << 16
+LOGIT_STEPS = 1024
 
 FOLDS, HELD_OUT = 3, 1
 TOXIC = 0.7
@@ -169,24 +177,41 @@ class _Steps:
         self.array[rows] -= self.rate * gradient / np.sqrt(self.seen[rows])
 
 
-def fit(x: Texts, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Network:
-    rng = np.random.default_rng(seed)
+def unfitted(rng: np.random.Generator) -> Network:
     normal = lambda *shape, by: (rng.standard_normal(shape) * by).astype(np.float32)
-    net = Network(
+    return Network(
         normal(BUCKETS, WIDTH, by=0.1),
         normal(BUCKETS, WIDTH, by=0.1),
         [normal(width, WIDTH, FILTERS, by=0.3) for width in FILTER_WIDTHS],
         np.zeros(len(FILTER_WIDTHS) * FILTERS, dtype=np.float32),
         normal(len(FILTER_WIDTHS) * FILTERS, by=0.3),
     )
+
+
+SEED = 11
+
+
+def fit(
+    x: Texts,
+    y: np.ndarray,
+    epochs: int = EPOCHS,
+    seed: int = SEED,
+    start: Network | None = None,
+    rate: float = 1.0,
+    share: float | None = None,
+    least_steps: int = LEAST_STEPS,
+) -> Network:
+    """A network fitted from ``start``; ``share`` is that of label 1, by which both labels weigh alike."""
+    rng = np.random.default_rng(seed)
+    net = unfitted(rng) if start is None else _copy(start)
     net.training = True
-    words, prefixes = _Steps(net.words, 0.1), _Steps(net.prefixes, 0.1)
-    filters = [_Steps(f, 0.05) for f in net.filters]
-    shift, output = _Steps(net.shift, 0.05), _Steps(net.output, 0.05)
-    share = y.mean()
+    words, prefixes = _Steps(net.words, 0.1 * rate), _Steps(net.prefixes, 0.1 * rate)
+    filters = [_Steps(f, 0.05 * rate) for f in net.filters]
+    shift, output = _Steps(net.shift, 0.05 * rate), _Steps(net.output, 0.05 * rate)
+    share = y.mean() if share is None else share
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     parts = max(1, len(y) // 64)
-    for _ in range(max(epochs, -(-LEAST_STEPS // parts))):
+    for _ in range(max(epochs, -(-least_steps // parts))):
         for rows in np.array_split(rng.permutation(len(y)), parts):
             own = _rows_of(x, rows)
             best, where = net.responses(own)
@@ -196,7 +221,7 @@ def fit(x: Texts, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Networ
             error = ((sigmoid(best @ net.output + net.bias) - y[rows]) * weight[rows] / len(rows)).astype(np.float32)
             back = error[:, None] * net.output * left * (where >= 0)
             output.take(best.T @ error + 1e-5 * net.output)
-            net.bias -= 0.5 * float(error.sum())
+            net.bias -= 0.5 * rate * float(error.sum())
             shift.take(back.sum(axis=0))
             touched, towards = [], []
             ends = own.bounds[1:]
@@ -227,13 +252,16 @@ def fit(x: Texts, y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> Networ
 
 def threshold(logits: np.ndarray, y: np.ndarray) -> float:
     """The middle between the two neighbouring logits that part the labels best, by the F1 measure of label 1."""
-    order = np.argsort(logits, kind="stable")
-    z, y = logits[order], y[order]
-    toxic = (y == 1).sum()
-    caught = toxic - np.concatenate([[0], np.cumsum(y == 1)])
-    flagged = len(y) - np.arange(len(y) + 1)
+    z, place = np.unique(logits, return_inverse=True)
+    return _cut(z, np.bincount(place[y != 1], minlength=len(z)), np.bincount(place[y == 1], minlength=len(z)))
+
+
+def _cut(z: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> float:
+    """The threshold from the numbers of both labels at sorted different logits."""
+    toxic = ones.sum()
+    caught = toxic - np.concatenate([[0], np.cumsum(ones)])
+    flagged = (zeros + ones).sum() - np.concatenate([[0], np.cumsum(zeros + ones)])
     gain = 2 * caught / np.maximum(1, flagged + toxic)
-    gain[1:-1][z[1:] == z[:-1]] = -1  # no cut between equal logits
     best = np.flatnonzero(gain == gain.max())
     cut = int(best[len(best) // 2])
     low, high = z[max(cut - 1, 0)], z[min(cut, len(z) - 1)]
@@ -244,70 +272,145 @@ def threshold(logits: np.ndarray, y: np.ndarray) -> float:
 FEWEST_TO_CALIBRATE = 30
 
 
-def calibrate(net: Network, x: Texts, y: np.ndarray) -> None:
-    # a few texts at once: responses are many times as large as the texts
-    few = [_rows_of(x, rows) for rows in np.array_split(np.arange(len(y)), -(-len(y) // 32))]
-    logits, language = np.concatenate([net.logits(part) for part in few]), languages(x)
-    net.thresholds[:] = threshold(logits, y)
-    for k in range(OTHER + 1):
-        own = language == k
-        if min((y[own] == 0).sum(), (y[own] == 1).sum()) >= FEWEST_TO_CALIBRATE:
-            net.thresholds[k] = threshold(logits[own], y[own])
+_ENCODED = pa.schema([("label", pa.int32()), ("place", pa.int64()), ("words", pa.binary()), ("prefixes", pa.binary())])
+
+
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, data, offsets in T.slices(batch["text"]):
+            x = encode(data, offsets)
+            rows = [slice(x.bounds[t], x.bounds[t + 1]) for t in range(len(x.bounds) - 1)]
+            known = [batch[name].slice(first, len(rows)) for name in ("label", "place")]
+            texts = [pa.array([of[r].tobytes() for r in rows], pa.binary()) for of in (x.words, x.prefixes)]
+            yield pa.record_batch([*known, *texts], schema=_ENCODED)
+
 
+def _decoded(rows: pa.Table | pa.RecordBatch) -> Texts:
+    words, prefixes = (rows[name].to_pylist() for name in ("words", "prefixes"))
+    numbers = [np.frombuffer(b"".join(of), np.int32) for of in (words, prefixes)]
+    return Texts(*numbers, np.cumsum([0, *[len(w) // 4 for w in words]]))
 
-def learn(x: Texts, y: np.ndarray) -> Network:
-    """A network fitted on three of four texts, with thresholds from the others; rows are sorted by label.
 
-    With too few texts of a class among the others, all texts serve for both.
-    """
-    held = np.arange(len(y)) % 4 == 3
-    if min((y[held] == 1).sum(), (y[held] == 0).sum()) < FEWEST_TO_CALIBRATE:
-        net = fit(x, y)
-        calibrate(net, x, y)
-        return net
-    net = fit(_rows_of(x, np.flatnonzero(~held)), y[~held])
-    rest = np.flatnonzero(held)
-    calibrate(net, _rows_of(x, rest), y[rest])
-    return net
+def _copy(net: Network) -> Network:
+    return _from_vector(_vector(net))
 
 
-_ENCODED = pa.schema([("label", pa.int32()), ("words", pa.binary()), ("prefixes", pa.binary())])
+def _vector(net: Network) -> np.ndarray:
+    arrays = [net.words, net.prefixes, *net.filters, net.shift, net.output, np.array([net.bias], np.float32)]
+    return np.concatenate([a.ravel() for a in arrays])
 
 
-def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _from_vector(vector: np.ndarray) -> Network:
+    n = len(FILTER_WIDTHS) * FILTERS
+    shapes = [(BUCKETS, WIDTH)] * 2 + [(width, WIDTH, FILTERS) for width in FILTER_WIDTHS] + [(n,), (n,), (1,)]
+    ends = np.cumsum([int(np.prod(shape)) for shape in shapes])
+    words, prefixes, *filters, shift, output, bias = (
+        vector[end - int(np.prod(shape)) : end].reshape(shape).astype(np.float32) for end, shape in zip(ends, shapes)
+    )
+    return Network(words, prefixes, filters, shift, output, float(bias[0]))
+
+
+_CHANGES = "slice int, shard int, change binary"
+
+
+def _round(rows: DataFrame, net: Network, shards: int, share: float, number: int) -> Network:
+    """The network moved by the mean of what each shard's documents change in it."""
+    rounds = ROUNDS if shards > 1 else 1
+    # later rounds go on with smaller steps; a single shard is fitted at once
+    options = {"epochs": EPOCHS // rounds, "rate": 1 / (1 + number), "share": share}
+    options["least_steps"] = LEAST_STEPS // rounds
+    start = rows.sparkSession.sparkContext.broadcast(net)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, total, first = _vector(start.value), None, None
+        for shard, own in _shards(batches):
+            y = own["label"].to_numpy().astype(np.float32)
+            change = _vector(fit(_decoded(own), y, seed=SEED + 1 + shard, start=start.value, **options)) - before
+            total, first = (change, shard) if total is None else (total + change, first)
+        if total is not None:
+            for k, a in enumerate(range(0, len(total), SLICE)):
+                row = [pa.array([v], t) for v, t in ((k, pa.int32()), (first, pa.int32()), (total[a : a + SLICE].tobytes(), pa.binary()))]
+                yield pa.record_batch(row, ["slice", "shard", "change"])
+
+    def summed(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("shard")  # in one order, so that equal input gives equal sums
+        total = sum(np.frombuffer(c, np.float32) for c in rows["change"].to_pylist())
+        return pa.table({"slice": rows["slice"][:1], "shard": rows["shard"][:1], "change": pa.array([total.tobytes()], pa.binary())})
+
+    placed = rows.repartition(min(shards, MOST_TASKS), "shard").sortWithinPartitions("shard", "place", "words")
+    parts = placed.mapInArrow(fitted, _CHANGES).groupBy("slice").applyInArrow(summed, _CHANGES)
+    # together as large as one network
+    found = {r["slice"]: np.frombuffer(bytes(r["change"]), np.float32) for r in parts.collect()}
+    start.unpersist()
+    return _from_vector(_vector(net) + np.concatenate([found[k] for k in sorted(found)]) / shards)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each shard, which come one after the other."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        labels = batch["label"].to_pylist()
-        for first, data, offsets in T.slices(batch["text"]):
-            x = encode(data, offsets)
-            rows = [slice(x.bounds[t], x.bounds[t + 1]) for t in range(len(x.bounds) - 1)]
-            columns = [labels[first : first + len(rows)], *[[of[r].tobytes() for r in rows] for of in (x.words, x.prefixes)]]
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _ENCODED)], schema=_ENCODED)
-
-
-def _learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The network of all rows as one row of bytes; nothing without both labels."""
-    rows = [row for batch in batches for row in zip(*[batch[name].to_pylist() for name in _ENCODED.names])]
-    if len({label for label, _, _ in rows}) < 2:
-        return
-    # whatever order the tasks had
-    rows.sort(key=lambda r: (r[0], len(r[1]), int(np.frombuffer(r[1], np.int32).sum(dtype=np.int64))))
-    x = Texts(
-        np.frombuffer(b"".join([words for _, words, _ in rows]), np.int32),
-        np.frombuffer(b"".join([prefixes for _, _, prefixes in rows]), np.int32),
-        np.cumsum([0, *[len(words) // 4 for _, words, _ in rows]]),
+        numbers = batch["shard"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and b > a and held[0]["shard"][0].as_py() != numbers[a]:
+                yield held[0]["shard"][0].as_py(), pa.Table.from_batches(held)
+                held = []
+            if b > a:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield held[0]["shard"][0].as_py(), pa.Table.from_batches(held)
+
+
+def _calibrated(rows: DataFrame, net: Network) -> Network:
+    """The network with thresholds from the logits of all rows, which are counted by language and label."""
+    shared = rows.sparkSession.sparkContext.broadcast(net)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), 32):  # responses are many times as large as the texts
+                own = batch.slice(a, 32)
+                x = _decoded(own)
+                steps = np.round(np.clip(shared.value.logits(x), -64, 64) * LOGIT_STEPS).astype(np.int32)
+                columns = [pa.array(languages(x).astype(np.int32)), pa.array(steps), own["label"]]
+                yield pa.record_batch(columns, ["language", "step", "label"])
+
+    counted = rows.mapInArrow(logits, "language int, step int, label int").groupBy("language", "step").agg(
+        F.count_if(F.col("label") == 0).alias("zeros"), F.count_if(F.col("label") == 1).alias("ones")
+    )
+    found = counted.orderBy("step", "language").toArrow()  # at most 128 * LOGIT_STEPS rows a language
+    language, step, zeros, ones = (found[c].to_numpy() for c in ("language", "step", "zeros", "ones"))
+    out = _copy(net)
+    for k in (None, *range(OTHER + 1)):
+        own = np.ones(len(step), dtype=bool) if k is None else language == k
+        if k is None or min(zeros[own].sum(), ones[own].sum()) >= FEWEST_TO_CALIBRATE:
+            z, place = np.unique(step[own], return_inverse=True)
+            counts = [np.bincount(place, of[own], len(z)).astype(np.int64) for of in (zeros, ones)]
+            out.thresholds[slice(None) if k is None else k] = _cut(z / LOGIT_STEPS, *counts)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Network | None:
+    """A network fitted on three of four labelled documents, with thresholds from the others; None without both labels.
+
+    With too few documents of a label among the others, all documents serve for both.
+    """
+    known = sampling.labelled(docs, labels, "toxic", FOLDS, HELD_OUT)
+    known = known.select("label", F.xxhash64("doc_id").alias("place"), "text")
+    rows = stage(known.mapInArrow(_encoded, "label int, place bigint, words binary, prefixes binary"), "labelled_texts")
+    other = F.pmod(F.col("place"), F.lit(4)) == 3
+    sizes = {(r["other"], r["label"]): r["count"] for r in rows.groupBy(other.alias("other"), "label").count().collect()}
+    parted = min(sizes.get((True, y), 0) for y in (0, 1)) >= FEWEST_TO_CALIBRATE
+    ones, zeros = (sum(n for (o, y), n in sizes.items() if y == label and not (parted and o)) for label in (1, 0))
+    if not ones or not zeros:
+        return None
+    shards = -(-(ones + zeros) // SHARD_ROWS)
+    fitted_on = (rows.where(~other) if parted else rows).withColumn(
+        "shard", F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int")
     )
-    y = np.array([label for label, _, _ in rows], dtype=np.float32)
-    del rows
-    yield pa.record_batch([pa.array([pickle.dumps(learn(x, y))], pa.binary())], ["network"])
-
-
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Network | None:
-    """A network fitted and calibrated on the sample, in one task; None without documents of both labels."""
-    sample = sampling.labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, per_class)
-    encoded = sample.select("label", "text").mapInArrow(_encoded, "label int, words binary, prefixes binary")
-    # at most 2 * per_class rows
-    found = encoded.repartition(1).mapInArrow(_learnt, "network binary").collect()
-    return pickle.loads(found[0]["network"]) if found else None
+    net = unfitted(np.random.default_rng(SEED))
+    for number in range(ROUNDS if shards > 1 else 1):
+        net = _round(fitted_on, net, shards, ones / (ones + zeros), number)
+    return _calibrated(rows.where(other) if parted else rows, net)
 
 
 # Texts scored at once hold about so many bytes.
