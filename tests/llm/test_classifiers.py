@@ -151,9 +151,10 @@ def test_all_labelled_documents_are_learnt_from(spark):
 
 
 def test_shards_are_averaged(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "SHARD_ROWS", 64)
-    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
-    docs, known = (spark.read.parquet(f"{MEDIUM}/{name}.parquet") for name in ("documents", "labels"))
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 512)
+    large = MEDIUM.replace("sf0.01", "sf0.1")
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{large}/labels.parquet").collect()}
+    docs, known = (spark.read.parquet(f"{large}/{name}.parquet") for name in ("documents", "labels"))
     _check(toxicity.report(docs, known).collect(), 3, 1, labels, "toxic", 0.85)
 
 
