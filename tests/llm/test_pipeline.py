@@ -70,3 +70,21 @@ def test_stages_with_odd_documents(spark, tmp_path):
         assert (kept.count() == rows) == (name != "n-gram jaccard join")
     encoded = corpus_pipeline.encode(spark, docs, str(tmp_path))
     assert encoded.count() == rows
+
+
+def test_what_a_stage_shuffled_goes_with_its_query(spark):
+    def shuffled() -> set[str]:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = documents(spark, [(i, " ".join(f"w{i % 7}x{k}" for k in range(20))) for i in range(50)])
+    spark.conf.set(setting, "false")  # a stage configures the session that it is called in
+    copies = dict(corpus_pipeline.STAGES)["n-gram jaccard join"](spark, docs, SMALL)
+    before = shuffled()
+    kept = stage(copies, "kept")
+    assert not shuffled() - before
+    assert kept.count() == 7
+    assert copies.count() == 7 and len(copies.collect()) == len(copies.collect()) == 7
+    assert spark.conf.get(setting) == "true"
