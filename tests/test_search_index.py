@@ -93,3 +93,15 @@ def test_documents_keep_their_time_and_their_files(spark, tables):
     pipeline.put_documents(tables, changed.withColumn("region", F.lit("East")), datetime(2024, 1, 4))
     assert times() == expected
     assert tables.read("rag_documents").where("region = 'East'").count() == 49
+
+
+def test_words_are_counted_before_they_are_shuffled(spark):
+    rows = [("a", "x", "pen pen ink"), ("a", "x", "pen ink ink"), (None, "x", "pen"), (None, None, "Pen, ink"), ("b", "y", None), ("c", "y", " ")]
+    documents = spark.createDataFrame(rows, "doc_id string, kind string, doc_text string")
+    found = search_index._postings(documents, ["kind"], "doc_id", "doc_text")
+    assert sorted([tuple(r) for r in found.select("word", "doc_id", "kind", "length", "n").collect()], key=str) == sorted(
+        [("pen", "a", "x", 3, 3), ("ink", "a", "x", 3, 3), ("pen", None, "x", 1, 1), ("pen", None, None, 2, 1), ("ink", None, None, 2, 1)],
+        key=str,
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and "hashpartitioning(word" not in plan
