@@ -197,3 +197,27 @@ def test_parts_are_replaced_one_by_one(spark):
     tables.replace_parts("t", spark.range(100).where(part_of(F.col("id"), 4) != names[2]).where(F.col("id").isin(*expected)), "id", 4, names)
     tables.append_parts("t", spark.range(100, 103), "id", 4)
     assert number(tables, "t") == [*expected, 100, 101, 102]
+
+
+def test_bridge_rows_of_new_orders_are_added(tables):
+    """Rows of other orders in the same part are neither read whole nor written again."""
+    before = files_of(tables, "bridge_return_products")
+    land(tables, 2, orders=[order(i) for i in range(100, 140)], transactions=[line(i) for i in range(100, 140)], returns=[returned(100)])
+    pipeline.transform_tables(tables)
+    after = files_of(tables, "bridge_return_products")
+    assert before.items() < after.items()
+    check_as_built_anew(tables)
+
+
+def test_bridge_rows_added_by_a_run_that_broke_off_are_not_doubled(tables, monkeypatch):
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    land(tables, 2, orders=[order(100)], transactions=[line(100)], returns=[returned(100)])
+    with monkeypatch.context() as patch:
+        patch.setattr(changes, "forget", failing)
+        with pytest.raises(RuntimeError):
+            pipeline.transform_tables(tables)
+    pipeline.transform_tables(tables)
+    assert tables.read("bridge_return_products").where("order_id = 'O100'").count() == 1
+    check_as_built_anew(tables)

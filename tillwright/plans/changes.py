@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 from tillwright.operators import facts
 from tillwright.plans.mart import Mart
 from tillwright.session import stage, stage_all
-from tillwright.sources.tables import Finish, Tables, newer, number_of_parts, part_of, watermark
+from tillwright.sources.tables import PART_ROWS, Finish, Tables, newer, number_of_parts, part_of, watermark
 
 FACTS = ("fact_sales", "fact_returns", "bridge_return_products")
 DIMENSION_KEYS = (("dim_customers", "customer"), ("dim_products", "product"), ("dim_vendors", "vendor"))
 
-# What builds and repairs had seen, and the number of parts of each fact.
-MARKS = "gold_marks"
+# What builds and repairs had seen, and the number of parts of each fact; gold in parts by another hash has other marks.
+MARKS = "gold_marks_by_hash"
 MARKS_SCHEMA = "entity string, mark timestamp_ntz, parts int"
 MARKED = ("customers", "orders", "transactions", "returns")
 # Orders whose facts or bridge rows a run is changing.
@@ -98,6 +98,11 @@ def of_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
     return rows.join(orders, KEY, "left_semi")
 
 
+def many(orders: DataFrame) -> bool:
+    """Whether orders fill a part: facts of few are brought together, lest they be a small file for each task and part."""
+    return orders.count() >= PART_ROWS
+
+
 def changed_parts(keys: DataFrame, key: str, parts: int) -> list[str]:
     """At most as many names as there are parts."""
     return [r[0] for r in keys.select(part_of(F.col(key), parts)).distinct().collect()]
@@ -183,4 +188,8 @@ def renew_bridge(tables: Tables, whole: Mart, orders: DataFrame, marks: Marks) -
     if changed:
         chosen = {name: of_orders(tables.read(name, changed), orders) for name in ("fact_sales", "fact_returns")}
         fresh = Mart(stored=chosen | _dimensions(whole)).slim_bridge()
-        _renew(tables, "bridge_return_products", orders, fresh, marks, changed, facts.slim_bridge_rows, facts.bridge_keys)
+        name = "bridge_return_products"
+        if of_orders(tables.read(name, changed).select(KEY), orders).isEmpty():  # nothing is to go
+            tables.append_parts(name, fresh, KEY, marks.parts, facts.bridge_keys, many(orders))
+            return
+        _renew(tables, name, orders, fresh, marks, changed, facts.slim_bridge_rows, facts.bridge_keys)

@@ -147,7 +147,7 @@ def _write_gold(tables: Tables, mode: str, repair_late: bool) -> None:
             ("fact_sales", "orders", changes.new_sales), ("fact_returns", "returns", changes.new_returns),
         ):
             new = newer(tables.read(f"clean_{entity}"), watermark(tables.read(fact)))
-            tables.append_parts(fact, made(whole, new), changes.KEY, marks.parts, facts.with_keys)
+            tables.append_parts(fact, made(whole, new), changes.KEY, marks.parts, facts.with_keys, changes.many(new))
     changes.renew_bridge(tables, whole, pending, marks)
     if repair_late:
         changes.write_marks(tables, now)
@@ -158,7 +158,7 @@ def _build_facts(tables: Tables) -> None:
     """All facts and the bridge from the clean tables; until the marks are written, runs build them again."""
     tables.drop(changes.MARKS)
     now, whole = changes.seen_by_now(tables), mart(tables, without=changes.FACTS)
-    keyed = {"key": changes.KEY, "parts": now.parts}
+    keyed = {"key": changes.KEY, "parts": now.parts, "lying": True}
     mark = changes.marking(whole, whole.clean("orders"), whole.clean("transactions"))
     built = {"fact_sales": whole.slim_sales(mark), "fact_returns": whole.slim_returns(mark)}
     together([lambda n=n, rows=rows: tables.replace(n, rows, **keyed, finish=facts.with_keys) for n, rows in built.items()])

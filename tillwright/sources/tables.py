@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime
+from math import gcd
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,18 @@ def number_of_parts(rows: int) -> int:
 
 
 def part_of(key: Column, parts: int) -> Column:
-    """The name of a key's part, which tells the number of parts as well."""
-    return F.concat(F.pmod(F.xxhash64(key), F.lit(parts)).cast("string"), F.lit(f"_of_{parts}"))
+    """The name of a key's part, which tells the number of parts as well.
+
+    The hash is the one that Spark shuffles rows by, so that rows joined by the key lie in few parts per task.
+    """
+    return F.concat(F.pmod(F.hash(key), F.lit(parts)).cast("string"), F.lit(f"_of_{parts}"))
+
+
+# Parts by that hash; a table without this folder has others, or none, and is written whole.
+EMPTY_PART = f"{PART}=empty_of_"
+
+# Rows that lie by the key are shuffled to their parts once more if a task would have rows of more parts.
+PARTS_OF_A_TASK = 16
 
 
 # What rows get after they were shuffled to their parts.
@@ -72,37 +83,48 @@ class Tables:
         return {name: df for name, df in found.items() if df is not None}
 
     def replace(
-        self, name: str, rows: DataFrame, key: str | None = None, parts: int = 0, finish: Finish | None = None
-    ) -> None:
-        """Put rows in the place of a table, with a ``key`` in parts; readers find the old rows until it is written."""
+        self, name: str, rows: DataFrame, key: str | None = None, parts: int = 0, finish: Finish | None = None,
+        lying: bool = False,
+    ) -> None:
+        """Put rows in the place of a table, with a ``key`` in parts; readers find the old rows until it is written.
+
+        Rows that come from a join or sums by the key are ``lying``: they are not shuffled to their parts once more.
+        """
         beside = f"{self.path(name)}.new-{uuid.uuid4().hex}"
-        self._written(rows, key, parts, finish).parquet(beside)
+        self._written(rows, key, parts, finish, lying).parquet(beside)
         if key is not None:  # a part without rows keeps the columns of a table that has none
-            (finish(rows) if finish else rows).limit(0).write.parquet(f"{beside}/{PART}=none_of_{parts}")
+            (finish(rows) if finish else rows).limit(0).write.parquet(f"{beside}/{EMPTY_PART}{parts}")
         self._swap(beside, self.path(name))
 
-    @staticmethod
-    def _written(rows: DataFrame, key: str | None, parts: int, finish: Finish | None = None):
+    def _rows_by_part(self, rows: DataFrame, key: str, parts: int, lying: bool) -> DataFrame:
+        keyed = rows.withColumn(PART, part_of(F.col(key), parts))
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if not lying or parts // gcd(parts, tasks) > PARTS_OF_A_TASK:
+            # rows of a part come together, in several tasks where they are many
+            keyed = keyed.hint("rebalance", F.col(PART))
+        # within a file rows are in order of the key, so that a reader of few keys skips most of it
+        return keyed.sortWithinPartitions(PART, key)
+
+    def _written(self, rows: DataFrame, key: str | None, parts: int, finish: Finish | None = None, lying: bool = False):
         if key is None:
             return rows.write
-        # rows of a part come together, in several tasks where they are many
-        keyed = rows.withColumn(PART, part_of(F.col(key), parts)).hint("rebalance", F.col(PART))
-        # within a file rows are in order of the key, so that a reader of few keys skips most of it
-        keyed = keyed.sortWithinPartitions(PART, key)
+        keyed = self._rows_by_part(rows, key, parts, lying)
         return (finish(keyed) if finish else keyed).write.partitionBy(PART)
 
     def parts(self, name: str) -> int | None:
         """The number of parts that a table was written in, None for a table without parts."""
-        folders = [f for f in self._folders(self.path(name)) if f.startswith(f"{PART}=")]
-        return int(folders[0].rsplit("_of_", 1)[1]) if folders else None
+        folders = [f for f in self._folders(self.path(name)) if f.startswith(EMPTY_PART)]
+        return int(folders[0].removeprefix(EMPTY_PART)) if folders else None
 
     def batches(self, name: str) -> list[int]:
         """The numbered micro-batches that a stream has written to a table."""
         found = [f.removeprefix(f"{BATCH}=") for f in self._folders(self.path(name)) if f.startswith(f"{BATCH}=")]
         return [int(number) for number in found if number.isdigit()]
 
-    def append_parts(self, name: str, rows: DataFrame, key: str, parts: int, finish: Finish | None = None) -> None:
-        self._written(rows, key, parts, finish).mode("append").parquet(self.path(name))
+    def append_parts(
+        self, name: str, rows: DataFrame, key: str, parts: int, finish: Finish | None = None, lying: bool = False
+    ) -> None:
+        self._written(rows, key, parts, finish, lying).mode("append").parquet(self.path(name))
 
     def replace_parts(
         self, name: str, rows: DataFrame, key: str, parts: int, changed: Iterable[str], finish: Finish | None = None
