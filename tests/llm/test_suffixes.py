@@ -132,3 +132,13 @@ def test_a_long_text(spark):
     text = "tick tock " * 300_000
     rows = suffixes.report(spark.createDataFrame([(1, text), (2, "tick tock")], "doc_id bigint, text string")).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {1: 600_001, 2: 3}
+
+
+def test_rare_sequences_of_a_large_corpus_count(spark):
+    filler = "tick tock " * 1_050_000
+    learnt = [i for i in range(30) if not _held_out(i)][:11]
+    docs = [(learnt[0], filler), *[(i, "alpha beta gamma delta") for i in learnt[1:]]]
+    rows = suffixes.report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    plain = _check(rows, docs)
+    assert plain.total * 5e-6 > plain.counts["alpha"] >= suffixes.LEAST_COUNT
+    assert any(context[-1] == "alpha" for context in plain.states)
