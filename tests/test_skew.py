@@ -117,3 +117,32 @@ def test_copies_of_one_customer(spark):
     number = int(hot["customer_name"][1:])
     assert number % 3 == 0 and number % 100 == 99 and number % 8 == 3 and hot["customer_email"] == f"e{number}"
     assert dim.count() == 1 + 20_000 - 6_667
+
+
+def test_sales_and_returns_of_vendors_and_products_are_queries_of_their_own(spark):
+    """The report itself joins sums that are stored, so that what each query shuffled is gone by then."""
+    class Tiny:
+        lines = spark.createDataFrame(
+            [("O1", "V1", "P1", "West", 2.0, 1, 0.5), ("O1", "V1", "P2", "West", 4.0, 2, 1.0), ("O2", "V1", "P1", "East", 8.0, 3, 2.0)],
+            "order_id string, vendor_id string, product_id string, region string, sales double, quantity bigint, profit double",
+        )
+        bridge_return_products = spark.createDataFrame([("O2", "P1", 1.5)], "order_id string, product_id string, allocated_refund double")
+        dim_vendors = spark.createDataFrame([("V1", "Vend")], "vendor_id string, vendor_name string")
+        dim_products = spark.createDataFrame([("P1", "Pen", "B"), ("P2", "Ink", "B")], "product_id string, product_name string, brand string")
+
+        def hold(self, *entities):
+            return self
+
+        def sales(self, customer=(), measures=()):
+            return self.lines.select("order_id", *customer, *measures)
+
+        def returns(self):
+            return self.bridge_return_products.select("order_id")
+
+    found = metrics.mv_vendor_product_performance(Tiny())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "order_id" not in plan and "allocated_refund#" not in plan.replace("total_allocated_refund#", "")
+    columns = ("product_id", "region", "order_count", "total_sales", "total_quantity", "total_profit", "return_count", "total_allocated_refund")
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) == [
+        ("P1", "East", 1, 8.0, 3, 2.0, 1, 1.5), ("P1", "West", 1, 2.0, 1, 0.5, 1, 1.5), ("P2", "West", 1, 4.0, 2, 1.0, 0, 0.0),
+    ]
