@@ -51,6 +51,18 @@ def test_build_and_refresh(spark, tables):
     assert search_index.search(tables, QUESTIONS).count() == 0
 
 
+def test_only_changed_documents_are_taken_apart(spark, tables, monkeypatch):
+    first = documents(spark, 1)
+    other = F.when(F.col("doc_id") == "d7", "pen pen").otherwise(F.col("doc_text"))
+    second = first.where("doc_id <> 'd8'").withColumn("doc_text", other).union(spark.createDataFrame([("d99", "new ink", "b")], SCHEMA))
+    search_index.build(tables, first, ["kind"])
+    seen, lengths = [], search_index._lengths
+    monkeypatch.setattr(search_index, "_lengths", lambda docs, *more: seen.extend(docs.collect()) or lengths(docs, *more))
+    assert search_index.refresh(tables, second, ["kind"]) == 3
+    assert sorted(row["doc_id"] for row in seen) == ["d7", "d99"]
+    check(tables, second)
+
+
 def test_a_refresh_that_broke_off_is_made_up_for(spark, tables, monkeypatch):
     first, second = documents(spark, 1), documents(spark, 3)
     search_index.build(tables, first, ["kind"])
