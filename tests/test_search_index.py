@@ -107,6 +107,16 @@ def test_documents_keep_their_time_and_their_files(spark, tables):
     assert tables.read("rag_documents").where("region = 'East'").count() == 49
 
 
+def test_texts_are_compared_as_bytes(spark, tables, monkeypatch):
+    row = ("p1", "product", "text", None, None, None)
+    of = spark.createDataFrame([row], "doc_id string, doc_type string, doc_text string, product_id string, vendor_id string, region string")
+    pipeline.put_documents(tables, of)
+    seen, differing = [], pipeline._differing
+    monkeypatch.setattr(pipeline, "_differing", lambda *rows: seen.extend(rows[:2]) or differing(*rows))
+    pipeline.put_documents(tables, of)
+    assert [dict(rows.dtypes)["text"] for rows in seen] == ["binary", "binary"]
+
+
 def test_words_are_counted_before_they_are_shuffled(spark):
     rows = [("a", "x", "pen pen ink"), ("a", "x", "pen ink ink"), (None, "x", "pen"), (None, None, "Pen, ink"), ("b", "y", None), ("c", "y", " ")]
     documents = spark.createDataFrame(rows, "doc_id string, kind string, doc_text string")
